@@ -17,6 +17,8 @@ import re
 
 from pyspark.sql import DataFrame
 
+from ..session import cut_lineage
+
 # Dose units, forms, frequencies and remarks that do not change a term's meaning.
 _UNITS = "mg/ml|mcg/ml|mg|mcg|ug|g|gm|kg|ml|l|meq|units?|iu|mmol|%|percent"
 _FORMS = (
@@ -118,8 +120,11 @@ def match_terms(values: DataFrame, terms: DataFrame) -> DataFrame:
         """,
         g=given,
     )
+    # Both are read by several joins: written once to the shared folder, they keep the plan small.
+    refs, readings = cut_lineage(refs), cut_lineage(readings)
     exact = sql("select r.kind, value, term_id, 0 as tier, rank as cost, r.c, ref from $r r join $t t on r.kind = t.kind and r.c = t.ref", r=readings, t=refs)
     open_ = sql("select r.* from $r r left anti join $e e on r.kind = e.kind and r.value = e.value", r=readings, e=exact)
+    open_ = cut_lineage(open_)
 
     segments = sql(
         """
@@ -184,6 +189,7 @@ def match_terms(values: DataFrame, terms: DataFrame) -> DataFrame:
         b=begun,
         i=inside,
     )
+    best = cut_lineage(best)
     matched = sql("select g.source_table, g.row_id, b.term_id from $g g join $b b on g.kind = b.kind and g.value = b.value", g=given, b=best)
     missing = sql("select g.source_table, g.row_id, cast(-1 as bigint) as term_id from $g g left anti join $b b on g.kind = b.kind and g.value = b.value", g=given, b=best)
     return matched.unionByName(missing)
