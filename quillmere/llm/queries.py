@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import load
-from . import canonical
+from . import canonical, pii
 
 
 def p1_found(spark, sf_dir):
@@ -11,5 +11,19 @@ def p1_found(spark, sf_dir):
     return canonical.match_terms(canonical.clinical_values(t("medications"), t("comorbidities")), t("canonical_terms"))
 
 
-QUERIES = {"p1_found": p1_found}
+def _remarks(spark, sf_dir):
+    return pii.remarks({n: load(spark, sf_dir, n) for n, _, _ in pii.SOURCES})
+
+
+def p3_found(spark, sf_dir):
+    return pii.found(_remarks(spark, sf_dir))
+
+
+def p3_redacted(spark, sf_dir):
+    """The remarks with typed placeholders; the key is the setting quillmere.pii.key."""
+    key = spark.conf.get("quillmere.pii.key", "change-me")
+    return pii.redact(_remarks(spark, sf_dir), "text", key).select("source_table", "row_id", "redacted")
+
+
+QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_redacted": p3_redacted}
 ORACLES: dict[str, str] = {}
