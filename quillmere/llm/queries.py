@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import load
-from . import canonical, pii
+from . import canonical, entities, pii
 
 
 def p1_found(spark, sf_dir):
@@ -25,5 +25,15 @@ def p3_redacted(spark, sf_dir):
     return pii.redact(_remarks(spark, sf_dir), "text", key).select("source_table", "row_id", "redacted")
 
 
-QUERIES = {"p1_found": p1_found, "p3_found": p3_found, "p3_redacted": p3_redacted}
+def p4_matched(spark, sf_dir):
+    """Every candidate pair with its confidence."""
+    t = lambda n: load(spark, sf_dir, n)
+    return entities.match(t("studies"), t("recordings"), t("sites")).select("study_id", "folder_name", "confidence")
+
+
+def p4_found(spark, sf_dir):
+    return entities.found(p4_matched(spark, sf_dir))
+
+
+QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_matched": p4_matched, "p3_found": p3_found, "p3_redacted": p3_redacted}
 ORACLES: dict[str, str] = {}
