@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import load
-from . import canonical, entities, pii
+from . import canonical, entities, pii, scanned
 
 
 def p1_found(spark, sf_dir):
@@ -35,5 +35,25 @@ def p4_found(spark, sf_dir):
     return entities.found(p4_matched(spark, sf_dir))
 
 
-QUERIES = {"p1_found": p1_found, "p4_found": p4_found, "p4_matched": p4_matched, "p3_found": p3_found, "p3_redacted": p3_redacted}
+def _reports(spark, sf_dir):
+    return scanned.reports(load(spark, sf_dir, "technologist_impression"), load(spark, sf_dir, "eeg_background"))
+
+
+def p6_found(spark, sf_dir):
+    return scanned.found(_reports(spark, sf_dir))
+
+
+def p6_repaired(spark, sf_dir):
+    return scanned.paragraphs(_reports(spark, sf_dir))
+
+
+QUERIES = {
+    "p1_found": p1_found,
+    "p3_found": p3_found,
+    "p3_redacted": p3_redacted,
+    "p4_found": p4_found,
+    "p4_matched": p4_matched,
+    "p6_found": p6_found,
+    "p6_repaired": p6_repaired,
+}
 ORACLES: dict[str, str] = {}
