@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import load
-from . import canonical, entities, pii, scanned
+from . import canonical, entities, mixing, pii, scanned, tokens
 
 
 def p1_found(spark, sf_dir):
@@ -47,6 +47,25 @@ def p6_repaired(spark, sf_dir):
     return scanned.paragraphs(_reports(spark, sf_dir))
 
 
+def p7_ids(spark, sf_dir):
+    return tokens.encode(load(spark, sf_dir, "documents"))
+
+
+def _sized(spark, sf_dir):
+    """Documents with their size in tokens."""
+    d = load(spark, sf_dir, "documents")
+    return d.select("doc_id", "source").join(tokens.token_counts(d), "doc_id")
+
+
+def p8_mix(spark, sf_dir):
+    return mixing.mix(_sized(spark, sf_dir), load(spark, sf_dir, "source_targets")).select("doc_id", "source", "tokens", "copies")
+
+
+def p8_shares(spark, sf_dir):
+    sized, targets = _sized(spark, sf_dir), load(spark, sf_dir, "source_targets")
+    return mixing.shares(mixing.mix(sized, targets), sized, targets)
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p3_found": p3_found,
@@ -55,5 +74,8 @@ QUERIES = {
     "p4_matched": p4_matched,
     "p6_found": p6_found,
     "p6_repaired": p6_repaired,
+    "p7_ids": p7_ids,
+    "p8_mix": p8_mix,
+    "p8_shares": p8_shares,
 }
 ORACLES: dict[str, str] = {}
