@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..sources.tables import load
-from . import canonical, entities, mixing, pii, scanned, tokens
+from . import canonical, entities, mixing, pii, quality, scanned, tokens
 
 
 def p1_found(spark, sf_dir):
@@ -66,6 +66,14 @@ def p8_shares(spark, sf_dir):
     return mixing.shares(mixing.mix(sized, targets), sized, targets)
 
 
+def p9_found(spark, sf_dir):
+    return quality.found(load(spark, sf_dir, "documents"))
+
+
+def p9_statistics(spark, sf_dir):
+    return quality.statistics(load(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p3_found": p3_found,
@@ -77,5 +85,7 @@ QUERIES = {
     "p7_ids": p7_ids,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
+    "p9_found": p9_found,
+    "p9_statistics": p9_statistics,
 }
 ORACLES: dict[str, str] = {}
