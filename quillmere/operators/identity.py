@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from .ordered import running_total
+
 
 def shift_days(key: Column, salt: str = "quillmere") -> Column:
     """A keyed shift of -365 to 365 days, the same wherever it is computed."""
@@ -19,8 +22,6 @@ def dense_ids(df: DataFrame, key: str, prefix: str = "P-", start: int = 0) -> Da
     Null and empty keys get no id.
     """
     keys = df.select(key).filter(F.col(key) != "").distinct().repartitionByRange(key).sortWithinPartitions(key)
-    from ..session import cut_lineage
-
     keys = cut_lineage(keys.withColumn("__p", F.spark_partition_id()).withColumn("__i", F.monotonically_increasing_id()))
     sizes = keys.groupBy("__p").agg(F.count("*").alias("n"), F.min("__i").alias("first"))
     offsets = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -30,17 +31,19 @@ def dense_ids(df: DataFrame, key: str, prefix: str = "P-", start: int = 0) -> Da
 
 def session_starts(df: DataFrame, entity: str, order: list[str], count: str) -> DataFrame:
     """Add ``session_start``: 1 plus the counts of the entity's earlier rows."""
-    w = Window.partitionBy(entity).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("session_start", (F.coalesce(F.sum(count).over(w), F.lit(0)) + 1).cast("bigint"))
+    return running_total(df, [entity], order, F.col(count), "__t").withColumn("session_start", F.col("__t") + 1).drop("__t")
 
 
-def numbered(df: DataFrame, group: list[str], order: list[Column | str], out: str = "position") -> DataFrame:
-    return df.withColumn(out, F.row_number().over(Window.partitionBy(*group).orderBy(*order)))
+def numbered(df: DataFrame, group: list[str], order: list[str], out: str = "position") -> DataFrame:
+    """Add ``out``: the row's place within its group, from 1."""
+    return running_total(df, group, order, F.lit(1), "__t").withColumn(out, F.col("__t") + 1).drop("__t")
 
 
-def keep_first(df: DataFrame, key: list[str], order: list[Column | str]) -> DataFrame:
-    """One row per key, the first in the given order."""
-    return numbered(df, key, order, "__n").filter("__n = 1").drop("__n")
+def keep_first(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
+    """One row per key, the first in the given order; combined before the shuffle."""
+    rest = [c for c in df.columns if c not in key]
+    g = df.groupBy(*key).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("__r"))
+    return g.select(*key, *[F.col("__r")[c].alias(c) for c in rest])
 
 
 def continued_ids(existing: DataFrame, new_keys: DataFrame, key: str, prefix: str = "P-") -> DataFrame:

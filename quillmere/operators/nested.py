@@ -62,7 +62,7 @@ def repair(text: str | None) -> str | None:
     return s + "".join(reversed(open_))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def repaired_json(texts: pd.Series) -> pd.Series:
     """Valid JSON where repair succeeds, else null. For the texts native parsing refuses."""
 

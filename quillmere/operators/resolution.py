@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -76,5 +76,6 @@ def union_labelled(tables: list[tuple[str, DataFrame]]) -> DataFrame:
 
 
 def duplicated(df: DataFrame, key: str) -> DataFrame:
-    """Rows of keys that occur more than once, with ``copies``."""
-    return df.withColumn("copies", F.count("*").over(Window.partitionBy(key))).filter("copies > 1")
+    """Rows of keys that occur more than once, with ``copies``; counts are combined before the shuffle."""
+    many = df.groupBy(key).agg(F.count("*").alias("copies")).filter("copies > 1")
+    return df.join(many, key)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from . import problems
+from . import entity_queries, problems, stat_queries, text_queries
 
 MODULES = [problems]
+REGISTRIES = [text_queries.R, entity_queries.R, stat_queries.R]
 
 
 def queries():
-    return {k: v for m in MODULES for k, v in m.QUERIES.items()}
+    return {k: v for m in MODULES for k, v in m.QUERIES.items()} | {k: v for r in REGISTRIES for k, v in r.queries.items()}
 
 
 def oracles():
-    return {k: v for m in MODULES for k, v in m.ORACLES.items()}
+    return {k: v for m in MODULES for k, v in m.ORACLES.items()} | {k: v for r in REGISTRIES for k, v in r.oracles.items()}
