@@ -45,7 +45,7 @@ _STEPS = [
     ("[\\u00ae\\u2122\\u00a9]", ""),
     ("\\\\[[^\\\\]]*\\\\]", " "),
     ("^\\\\s*(?:[*\\u2022+>-]+|\\\\(?\\\\d{1,2}[.)])\\\\s+", ""),
-    (f"^\\\\s*(?:(?:{_LEADS})\\\\s+)+", ""),
+    (f"^\\\\s*(?:(?:{_LEADS})\\\\s+){{1,6}}", ""),
     (f"(?<![a-z0-9])\\\\d[\\\\d,.]*\\\\s*(?:{_UNITS})(?![a-z])", " "),
     (f"(?<![a-z0-9])(?:{_OFTEN})(?![a-z0-9])", " "),
     (f"(?<=[a-z.)] ?)(?:[\\\\s,-]+)(?:{_FORMS})(?![a-z])", " "),

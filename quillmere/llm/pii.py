@@ -20,23 +20,24 @@ from ..functions.temporal import days_from_civil, let, valid_civil
 ROUNDS = 10
 CUT = "\u0002"
 
+# No repetition of a group is unbounded and every scan starts at a word: texts may be of any length.
 # --- patterns: group 1 is the value -------------------------------------------------
 
 _DOT = r"(?:\.|\s?\(dot\)\s?|\s?\[dot\]\s?|\sdot\s)"
-EMAIL = rf"(?i)((?:[a-z0-9_+%-]+{_DOT})*[a-z0-9_+%-]+\s?(?:@|\(at\)|\[at\]|\{{at\}}|\sat(?=\s[a-z0-9-]+\sdot\s))\s?[a-z0-9-]+(?:{_DOT}[a-z0-9-]+)+)"
+EMAIL = rf"(?i)(?<![a-z0-9_+%.-])((?:[a-z0-9_+%-]{{1,64}}{_DOT}){{0,6}}[a-z0-9_+%-]{{1,64}}\s?(?:@|\(at\)|\[at\]|\{{at\}}|\sat(?=\s[a-z0-9-]+\sdot\s))\s?[a-z0-9-]{{1,64}}(?:{_DOT}[a-z0-9-]{{1,64}}){{1,6}})"
 
 _STREET = (
     "street|st\\.?|road|rd\\.?|avenue|ave\\.?|boulevard|blvd\\.?|lane|ln\\.?|drive|dr\\.?|court|ct\\.?|terrace|ter\\.?|mews|way|place|pl\\.?|square|sq\\.?|"
     "close|crescent|circle|parkway|pkwy\\.?|highway|hwy\\.?|alley|row|walk|grove|gardens?|hill|green|park"
 )
 _AFTER = r"(?=$|[,;.\n/|)?!]| \d{5}| last | - | / |  |\x02)"
-_TOWN = rf"\p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+){{0,2}}"
+_TOWN = rf"\p{{Lu}}\p{{Ll}}{{1,40}}(?:[ -]\p{{Lu}}\p{{Ll}}{{1,40}}){{0,2}}"
 _UNIT = r"(?:(?:, ?| )(?:(?i:apt|apartment|unit|suite|ste|floor|fl|room|rm)\.? ?#?|# ?)\w{1,5})"
 _PLACE = rf"(?:,? {_TOWN},? (?:[A-Z]{{2}} )?\d{{5}}(?:-\d{{4}})?(?!\d)|, {_TOWN}{_AFTER}|,? \d{{5}}(?!\d))"
 ADDRESS = (
     rf"((?<![\w-])(?i:p\.? ?o\.? ?box|post office box|postfach) \d+{_PLACE}?"
-    rf"|(?<![\w.:/-])\d{{1,5}}[A-Za-z]? (?:(?!(?i:am|pm|before|after|by|of|at|for|from|with|on|in|to|and)\b)\p{{L}}[\p{{L}}'-]+ ){{1,3}}(?i:{_STREET})(?![\p{{L}}\d]){_UNIT}?{_PLACE}?(?:{_UNIT})?"
-    rf"|(?<!\p{{L}})\p{{Lu}}[\p{{L}}-]*(?i:stra(?:ß|ss)e|str\.|weg|gasse|platz|allee|ring|damm) \d{{1,4}}[a-z]?(?:, \d{{5}} {_TOWN})?)"
+    rf"|(?<![\w.:/-])\d{{1,5}}[A-Za-z]? (?:(?!(?i:am|pm|before|after|by|of|at|for|from|with|on|in|to|and)\b)\p{{L}}[\p{{L}}'-]{{1,40}} ){{1,3}}(?i:{_STREET})(?![\p{{L}}\d]){_UNIT}?{_PLACE}?(?:{_UNIT})?"
+    rf"|(?<!\p{{L}})\p{{Lu}}[\p{{L}}-]{{0,40}}(?i:stra(?:ß|ss)e|str\.|weg|gasse|platz|allee|ring|damm) \d{{1,4}}[a-z]?(?:, \d{{5}} {_TOWN})?)"
 )
 
 _LABEL = (
@@ -45,7 +46,7 @@ _LABEL = (
     r"passport(?: (?:no|number)\b\.?)?|driver'?s? lic(?:en[sc]e)?\.?(?: (?:no|number)\b\.?)?|lic(?:en[sc]e)?\.?(?: (?:no|number)\b\.?)|dl(?: no)?\.?|"
     r"ins(?:urance)?\.? ?(?:id|no|number|policy)\b\.?|member ?(?:id|no|number)\b\.?|policy(?: (?:no|number|id)\b\.?)?|patient id|pt id|medicare|medicaid"
 )
-ID_NUMBER = rf"(?<![\p{{L}}\d])(?i:{_LABEL})\s?[:#=]?\s?((?:[A-Z]{{1,4}}[ -]?)?\d(?:[ -]?\d){{3,}}(?:[A-Z](?![\p{{L}}]))?)(?![\d])"
+ID_NUMBER = rf"(?<![\p{{L}}\d])(?i:{_LABEL})\s?[:#=]?\s?((?:[A-Z]{{1,4}}[ -]?)?\d(?:[ -]?\d){{3,30}}(?:[A-Z](?![\p{{L}}]))?)(?![\d])"
 BARE_ID = r"(?<![\w+.-])(\d{3}-\d{2}-\d{4})(?![\w-])"
 
 PHONE = (
@@ -65,11 +66,11 @@ _NO = (
     r"REM|HV|EEG|EKG|ECG|EMG|MRI|CT|ID|SSN|MRN|SN|PDR|PLEDs?|GPDs?|LPDs?|REC|START|XLEvent|PushButton|Start|Recording|Recorder|Segment|Clip|Marker|Impedances?|Spikes?|Seizure|Eyes|Open|Closed|"
     r"Jacksonian|Todd|Rolandic|Breach|Video|Battery|Event|Leads?|Photic|Diary|Sleep|Technical|Frequent|No|Stage|File|Case|Gain|Burst|Push|Button|Home|Phone|Fax|Cell)\b)"
 )
-_W = rf"{_NO}\p{{Lu}}[\p{{L}}]+(?:['’](?!s\b)\p{{L}}+)?(?:-\p{{Lu}}\p{{L}}+)*"
+_W = rf"{_NO}\p{{Lu}}\p{{L}}{{1,40}}(?:['’](?!s\b)\p{{L}}{{1,40}})?(?:-\p{{Lu}}\p{{L}}{{1,40}}){{0,3}}"
 _I = r"\p{Lu}\.?(?![\p{L}\d])"
 _ONE = rf"(?:{_I} ?){{0,2}}{_W}(?: (?:{_W}|{_I}|(?:von|van|de|der|la|del|bin)(?= \p{{Lu}}))){{0,3}}"
 _TURNED = rf"{_W}(?: {_W})?, {_W}(?: {_I})?(?! \p{{Lu}}\p{{Ll}}|['’]s phone| \()"
-_LOWER = r"(?!(?:and|or|the|a|an|his|her|their|who|was|is|has|had|not|did|in|on|at|to|ate|for|by|with|of)\b)\p{Ll}{2,}(?: \p{Ll}\.?)? (?!(?:and|or|the|at|in|on|to|said|says|called|notified|was|is)\b)\p{Ll}{3,}"
+_LOWER = r"(?!(?:and|or|the|a|an|his|her|their|who|was|is|has|had|not|did|in|on|at|to|ate|for|by|with|of)\b)\p{Ll}{2,40}(?: \p{Ll}\.?)? (?!(?:and|or|the|at|in|on|to|said|says|called|notified|was|is)\b)\p{Ll}{3,40}"
 _CLIENT = r"(?:[Pp]t|[Pp]atient|PT|PATIENT|[Ee]mergency contact|[Cc]aregiver|[Gg]uardian|[Pp]arent|[Cc]ontact)\.? "
 _TITLES = rf"(?:(?:{_ROLE})\.? ){{1,2}}"
 _BEFORE = r"(?:[Bb]y|[Ww]ith|[Ww]/|[Aa]sk|[Aa]sked|[Tt]old|[Pp]er|[Cc]alled|[Pp]aged|[Nn]otified|[Vv]ia|[Ff]rom|[Cc]\.?c\.?|[Aa]ttn:?|[Nn]ame:?) (?:the )?"

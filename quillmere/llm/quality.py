@@ -34,9 +34,6 @@ _PIPES = r"^\s*\|?[^|]*\|[^|]*\|.*$|^\s*[-+=:| ]*[+|][-+=:| ]{3,}$"
 _TABS = r"\S?[ ]*\t[ ]*\S"
 _GAP = r"\S {2,}(?=\S)"
 _TWO = r"^\s*\S+(?: \S+){0,2} {3,}\S+(?: \S+){0,2}\s*$"
-_CELL = r"(?:[^,;\t|\s][^,;\t|]{0,24})?"
-_DELIMITED = rf"^{_CELL}(?:;{_CELL}){{2,}}$|^{_CELL}(?:,{_CELL}){{2,}}$|^{_CELL}(?:~{_CELL}){{2,}}$"
-_HEX = r"^(?=.*[A-Fa-f])(?:(?:0x)?[0-9A-Fa-f]{2}[ :]?){8,}\s*$"
 _FOREIGN = r"[^\x00-\x7FäöüßéèêëàâçîïôûùñáíóúæøåœÄÖÜÉÈÀÂÇÑÁÍÓÚÆØÅ‘’“”«»–—•…°µ¿¡]"
 
 
@@ -44,23 +41,34 @@ def _count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
+def _delimited(line: Column, sign: str) -> Column:
+    """Two signs or more, none followed by a blank, and only short cells between them."""
+    return (_count(line, sign) >= 2) & ~line.rlike(rf"{sign}\s") & ~line.rlike(rf"[^{sign}]{{26,}}")
+
+
 def _line_kind(line: Column) -> Column:
-    """'t' cells, 'j' no language, 'i' marked item, 'b' short line without sentence end, 'p' other."""
-    full = F.length(F.regexp_replace(line, r"\s+", ""))
-    letters = _count(line, r"\p{L}")
+    """'t' cells, 'j' no language, 'i' marked item, 'b' short line without sentence end, 'p' other.
+
+    No pattern repeats a group without a bound: lines may be of any length.
+    """
+    bare = F.regexp_replace(line, r"\s+", "")
+    full = F.length(bare)
+    letters, digits = _count(line, r"\p{L}"), _count(line, r"\d")
     tokens = _count(line, r"\S+")
-    mixed = _count(line, r"(?<!\S)(?=\S*\p{L}\S*\d|\S*\d\S*\p{L}|\S*\p{Ll}\p{Lu}|[^\saeiouyAEIOUYáéíóúàèùâêîôûäöüåøæœëïœÁÉÄÖÜ]{4,}(?!\S))\S{2,}")
+    words = F.filter(F.split(F.lower(line), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
+    pairs = _count(line, r"(?<!\S)[0-9A-Fa-f]{2}(?!\S)")
+    mixed = _count(line, r"(?<!\S)(?=\S{0,24}\p{L}\S{0,24}\d|\S{0,24}\d\S{0,24}\p{L}|\S{0,24}\p{Ll}\p{Lu}|[^\saeiouyAEIOUYáéíóúàèùâêîôûäöüåøæœëïœÁÉÄÖÜ]{4,24}(?!\S))\S{2,}")
     return (
-        F.when(line.rlike(r"^\s*(\S)(?:\s*\1){4,}\s*$"), "j")
-        .when(line.rlike(r"(?i)^\W*(\w+)(?:\W+\1){4,}\W*$"), "j")
+        F.when((full >= 5) & (F.length(F.replace(bare, F.substring(bare, 1, 1), F.lit(""))) == 0), "j")
+        .when((F.size(words) >= 5) & (F.size(F.array_distinct(words)) == 1), "j")
         .when(_count(line, _FOREIGN) > full * 0.3, "j")
-        .when(line.rlike(_HEX), "j")
-        .when(line.rlike(_PIPES) & (letters + _count(line, r"\d") > full * 0.4), "t")
+        .when((pairs >= 8) & (pairs == tokens) & line.rlike("[A-Fa-f]"), "j")
+        .when(line.rlike(_PIPES) & (letters + digits > full * 0.4), "t")
         .when(line.rlike(_TABS), "t")
-        .when(line.rlike(_DELIMITED) & (tokens <= 6 + _count(line, "[;,]")) & (letters + _count(line, r"\d") > full * 0.4), "t")
+        .when((_delimited(line, ";") | _delimited(line, ",") | _delimited(line, "~")) & (letters + digits > full * 0.4), "t")
         .when(line.rlike(_BULLET) & (letters > full * 0.3), "i")
-        .when((letters + _count(line, r"\d") < full * 0.5) & (full >= 4), "j")
-        .when(((_count(line, _GAP) >= 2) | line.rlike(_TWO)) & (tokens <= 24) & (letters + _count(line, r"\d") > full * 0.5), "t")
+        .when((letters + digits < full * 0.5) & (full >= 4), "j")
+        .when(((_count(line, _GAP) >= 2) | line.rlike(_TWO)) & (tokens <= 24) & (letters + digits > full * 0.5), "t")
         .when((tokens >= 4) & (mixed > tokens * 0.45), "j")
         .when((full >= 24) & (tokens <= 2) & (~line.rlike(r"^[\p{L}\s-]+$") | line.rlike(r"\p{L}{36,}")), "j")
         .when((F.length(line) <= 48) & (tokens <= 7) & ~line.rlike(r"[.!;:,]\s*$") & ~line.rlike(r"^\p{Lu}[\p{Lu} /&-]+$"), "b")
@@ -92,6 +100,7 @@ def statistics(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         safe(F.size(F.filter("__l", lambda x: x["e"])), n).alias("ended_share"),
         safe(F.size(F.filter("__w", lambda x: x.isin(COMMON))), w).alias("common_share"),
         safe(F.size(F.array_distinct("__w")), w).alias("distinct_share"),
+        safe(F.aggregate(F.zip_with(F.slice("__w", F.lit(1), F.greatest(w - 1, F.lit(0))), F.slice("__w", F.lit(2), F.greatest(w - 1, F.lit(0))), lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x), w).alias("repeat_share"),
         safe(w, n).alias("words_a_line"),
         safe(c, n).alias("chars_a_line"),
         safe(weight("i"), c).alias("item_share"),
@@ -102,7 +111,7 @@ def statistics(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     )
 
 
-FEATURES = ["mean_word_length", "symbol_ratio", "digit_ratio", "ended_share", "common_share", "distinct_share", "list_share", "table_share", "noise_share"]
+FEATURES = ["mean_word_length", "symbol_ratio", "digit_ratio", "ended_share", "common_share", "repeat_share", "list_share", "table_share", "noise_share"]
 ORDER = ["junk", "table", "list"]  # classes in the order their rules are tried; the rest is prose
 
 

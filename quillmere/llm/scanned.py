@@ -37,11 +37,11 @@ def _folded(word: str) -> str:
     return word.lower().translate(str.maketrans(_FOLD_FROM, _FOLD_TO))
 
 
-_SPACE = r"[\s\x{FEFF}\x{00A0}]"
+_SPACE = " \t\r\f\v\u00a0\ufeff\u200b"
 
 
 def lines_of(text: Column) -> Column:
-    return F.transform(F.split(text, r"\r\n|\n|\r|\f|\x{2028}|\x{2029}", -1), lambda x: F.regexp_replace(x, rf"^{_SPACE}+|{_SPACE}+$", ""))
+    return F.transform(F.split(text, r"\r\n|\n|\r|\f|\x{2028}|\x{2029}", -1), lambda x: F.btrim(x, F.lit(_SPACE)))
 
 
 def is_page_line(line: Column) -> Column:
@@ -53,9 +53,9 @@ def is_page_line(line: Column) -> Column:
     marks = rf"^[\W_]*(?:{_folded('continued')}|{_folded('cont')}\.?)(?: (?:on|from) {_folded('next')}.*| on .*{page}.*)?[\W_]*$"
     stamps = rf"^(?:{_folded('printed')} .*\d|{_folded('fax')}: ?.*\d|.*{_folded('confidential')}[\W_]*$|.*{page}: ?{n}$|{_folded('technologist scan report')}.*)"
     # A running title: two words or more, each with a capital, a digit or a sign in front, no sentence end.
-    title = r"^(?:(?:[\p{Lu}\d][\p{L}\d'’!|/-]*[.:,]?|[&|/–—-]|p\.|of|and|the)(?:\s+|$)){2,}$"
+    title = r"^(?:(?:[\p{Lu}\d][\p{L}\d'’!|/-]*[.:,]?|[&|/–—-]|p\.|of|and|the)(?:\s+|$)){2,14}$"
     has_digit = line.rlike(r"\d|^[\W_]*[lIO][\W_]*$")
-    titled = line.rlike(title) & ~line.rlike(r"[.?!]$") & line.rlike(r"\p{Lu}\S*\p{L}.*\s") & ~line.rlike(r"\p{Ll}{2}[.,]\s")
+    titled = (F.length(line) <= 160) & line.rlike(title) & ~line.rlike(r"[.?!]$") & line.rlike(r"\p{Lu}\S*\p{L}.*\s") & ~line.rlike(r"\p{Ll}{2}[.,]\s")
     return (line != "") & ((f.rlike(number) & has_digit) | f.rlike(marks) | f.rlike(stamps) | titled)
 
 
@@ -65,7 +65,7 @@ SPLIT = rf"([^\s\n]*[\p{{L}}\d]){_HYPHEN} *\n([\p{{L}}\d!|][^\s\n]*)"
 
 def _trim(token: Column) -> Column:
     """Punctuation around a word goes; a leading sign that may stand for a letter stays before letters."""
-    return F.regexp_replace(token, r"^(?:(?![!|](?=\p{Ll}))[^\p{L}\p{N}])+|[^\p{L}\p{N}]+$", "")
+    return F.regexp_replace(token, r"^[^\p{L}\p{N}]*?(?=[!|]\p{Ll}|[\p{L}\p{N}]|$)|(?<=[\p{L}\p{N}])[^\p{L}\p{N}]+$", "")
 
 
 def body(df: DataFrame, text: str) -> DataFrame:
