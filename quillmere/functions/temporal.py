@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SEP = "\u0001"
+_BLANKS = "".join(map(chr, range(33))) + "\u00a0\ufeff"
 
 _MONTH = (
     "jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?|"
@@ -79,7 +80,7 @@ def expand_year(text: Column) -> Column:
 
 def _pieces(value: Column, pattern: str, parts: str) -> Column:
     # A value that no alternative matches stays as it is: one piece.
-    clean = F.regexp_replace(value, r"^[\s\x00-\x1f ]+|[\s\x00-\x1f ]+$|\x01", "")
+    clean = F.btrim(F.translate(value, SEP, ""), F.lit(_BLANKS))
     return F.split(F.regexp_replace(clean, pattern, parts), SEP, -1)
 
 
