@@ -63,10 +63,10 @@ _ROLE = (
 # No token of a name: roles, relations, event words and terms named after persons.
 _NO = (
     r"(?!(?:Mother|Father|Mom|Dad|Husband|Wife|Spouse|Sister|Brother|Son|Daughter|Caregiver|Family|Parents?|Patient|Pt|Nurse|Doctor|Dr|Mr|Mrs|Ms|Miss|Tech|Technologist|RN|LPN|MD|REEGT|RPSGT|CLTM|"
-    r"REM|HV|EEG|EKG|ECG|EMG|MRI|CT|ID|SSN|MRN|SN|PDR|PLEDs?|GPDs?|LPDs?|REC|START|XLEvent|PushButton|Start|Recording|Recorder|Segment|Clip|Marker|Impedances?|Spikes?|Seizure|Eyes|Open|Closed|"
+    r"AM|PM|Hz|NT|REM|HV|EEG|EKG|ECG|EMG|MRI|CT|ID|SSN|MRN|SN|PDR|PLEDs?|GPDs?|LPDs?|REC|START|XLEvent|PushButton|Start|Recording|Recorder|Segment|Clip|Marker|Impedances?|Spikes?|Seizure|Eyes|Open|Closed|"
     r"Jacksonian|Todd|Rolandic|Breach|Video|Battery|Event|Leads?|Photic|Diary|Sleep|Technical|Frequent|No|Stage|File|Case|Gain|Burst|Push|Button|Home|Phone|Fax|Cell)\b)"
 )
-_W = rf"{_NO}\p{{Lu}}\p{{L}}{{1,40}}(?:['’](?!s\b)\p{{L}}{{1,40}})?(?:-\p{{Lu}}\p{{L}}{{1,40}}){{0,3}}"
+_W = rf"{_NO}\p{{Lu}}\p{{L}}{{1,40}}+(?:['’](?!s\b)\p{{L}}{{1,40}})?(?:-\p{{Lu}}\p{{L}}{{1,40}}){{0,3}}"
 _I = r"\p{Lu}\.?(?![\p{L}\d])"
 _ONE = rf"(?:{_I} ?){{0,2}}{_W}(?: (?:{_W}|{_I}|(?:von|van|de|der|la|del|bin)(?= \p{{Lu}}))){{0,3}}"
 _TURNED = rf"{_W}(?: {_W})?, {_W}(?: {_I})?(?! \p{{Lu}}\p{{Ll}}|['’]s phone| \()"
@@ -74,7 +74,7 @@ _LOWER = r"(?!(?:and|or|the|a|an|his|her|their|who|was|is|has|had|not|did|in|on|
 _CLIENT = r"(?:[Pp]t|[Pp]atient|PT|PATIENT|[Ee]mergency contact|[Cc]aregiver|[Gg]uardian|[Pp]arent|[Cc]ontact)\.? "
 _TITLES = rf"(?:(?:{_ROLE})\.? ){{1,2}}"
 _BEFORE = r"(?:[Bb]y|[Ww]ith|[Ww]/|[Aa]sk|[Aa]sked|[Tt]old|[Pp]er|[Cc]alled|[Pp]aged|[Nn]otified|[Vv]ia|[Ff]rom|[Cc]\.?c\.?|[Aa]ttn:?|[Nn]ame:?) (?:the )?"
-_BEYOND = r"(?=(?:['’]s)?(?: phone)?(?: \([A-Z]{2,6}\))?(?:,? (?:at bedside|notified|says?|said|called|calls|reports?|reported|states?|stated|at hookup|at lunch|present|arrived|asked|in room|phone\b)|: ))"
+_BEYOND = r"(?=(?:['’]s)?(?: phone)?(?: \([A-Z]{2,6}\))?(?:,? (?:at bedside|notified|says?|said|called|calls|reports|reported|states?|stated|at hookup|at lunch|present|arrived|asked|in room|phone\b)|: ))"
 _CRED = r"(?=(?:['’]s phone| \((?:R?\.? ?EEG ?T\.?|REEGT|RPSGT|CLTM|RN|MD|PA|NP|RET)\)|,? (?:REEGT|RPSGT|CLTM)\b))"
 NAME = (
     rf"(?<![\p{{L}}\d'’-])(?:{_CLIENT}({_TURNED})|{_BEFORE}(?:{_CLIENT})({_LOWER})|(?:{_CLIENT})({_LOWER}){_BEYOND}"
