@@ -14,6 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.temporal import let
 from . import labelled
 
 SAMPLE = 1600  # labelled documents the rules are induced on
@@ -43,34 +44,41 @@ def _count(text: Column, pattern: str) -> Column:
 
 def _delimited(line: Column, sign: str) -> Column:
     """Two signs or more, none followed by a blank, and only short cells between them."""
-    return (_count(line, sign) >= 2) & ~line.rlike(rf"{sign}\s") & ~line.rlike(rf"[^{sign}]{{26,}}")
+    return F.contains(line, F.lit(sign)) & (_count(line, sign) >= 2) & ~line.rlike(rf"{sign}\s") & ~line.rlike(rf"[^{sign}]{{26,}}")
 
 
-def _line_kind(line: Column) -> Column:
-    """'t' cells, 'j' no language, 'i' marked item, 'b' short line without sentence end, 'p' other.
+def _line_facts(line: Column) -> Column:
+    """struct(k, n, e): kind, non-blank characters, sentence end.
+
+    Kinds: 't' cells, 'j' no language, 'i' marked item, 'b' short line without sentence end, 'p' other.
 
     No pattern repeats a group without a bound: lines may be of any length.
     """
+    # Counts are bound once; the costly tests come last and only where the cheap ones leave it open.
     bare = F.regexp_replace(line, r"\s+", "")
-    full = F.length(bare)
-    letters, digits = _count(line, r"\p{L}"), _count(line, r"\d")
-    tokens = _count(line, r"\S+")
+    facts = F.struct(line.alias("t"), bare.alias("bare"), F.length(bare).alias("full"), _count(line, r"\p{L}").alias("letters"), _count(line, r"\d").alias("digits"), _count(line, r"\S+").alias("tokens"))
+    return let(facts, lambda x: F.struct(_kind_of(x).alias("k"), x["full"].alias("n"), x["t"].rlike(r"[.!?…]['\"»”)]*\s*$").alias("e")))
+
+
+def _kind_of(x: Column) -> Column:
+    line, full, tokens, known = x["t"], x["full"], x["tokens"], x["letters"] + x["digits"]
     words = F.filter(F.split(F.lower(line), r"[^\p{L}\p{N}_]+"), lambda w: w != "")
+    again = line.rlike(r"(?i)^\W{0,20}(\w{1,60})\W{1,20}\1(?!\w)")
     pairs = _count(line, r"(?<!\S)[0-9A-Fa-f]{2}(?!\S)")
     mixed = _count(line, r"(?<!\S)(?=\S{0,24}\p{L}\S{0,24}\d|\S{0,24}\d\S{0,24}\p{L}|\S{0,24}\p{Ll}\p{Lu}|[^\saeiouyAEIOUYáéíóúàèùâêîôûäöüåøæœëïœÁÉÄÖÜ]{4,24}(?!\S))\S{2,}")
     return (
-        F.when((full >= 5) & (F.length(F.replace(bare, F.substring(bare, 1, 1), F.lit(""))) == 0), "j")
-        .when((F.size(words) >= 5) & (F.size(F.array_distinct(words)) == 1), "j")
-        .when(_count(line, _FOREIGN) > full * 0.3, "j")
-        .when((pairs >= 8) & (pairs == tokens) & line.rlike("[A-Fa-f]"), "j")
-        .when(line.rlike(_PIPES) & (letters + digits > full * 0.4), "t")
-        .when(line.rlike(_TABS), "t")
-        .when((_delimited(line, ";") | _delimited(line, ",") | _delimited(line, "~")) & (letters + digits > full * 0.4), "t")
-        .when(line.rlike(_BULLET) & (letters > full * 0.3), "i")
-        .when((letters + digits < full * 0.5) & (full >= 4), "j")
-        .when(((_count(line, _GAP) >= 2) | line.rlike(_TWO)) & (tokens <= 24) & (letters + digits > full * 0.5), "t")
-        .when((tokens >= 4) & (mixed > tokens * 0.45), "j")
+        F.when((full >= 5) & (F.length(F.replace(x["bare"], F.substring(x["bare"], 1, 1), F.lit(""))) == 0), "j")
+        .when(again & (F.size(words) >= 5) & (F.size(F.array_distinct(words)) == 1), "j")
+        .when(line.rlike(_FOREIGN) & (_count(line, _FOREIGN) > full * 0.3), "j")
+        .when(line.rlike("^[0-9A-Fa-f]{2} [0-9A-Fa-f]{2} ") & (pairs >= 8) & (pairs == tokens) & line.rlike("[A-Fa-f]"), "j")
+        .when((known > full * 0.4) & (F.contains(line, F.lit("|")) | F.contains(line, F.lit("+"))) & line.rlike(_PIPES), "t")
+        .when(F.contains(line, F.lit("\t")) & line.rlike(_TABS), "t")
+        .when((known > full * 0.4) & (_delimited(line, ";") | _delimited(line, ",") | _delimited(line, "~")), "t")
+        .when((x["letters"] > full * 0.3) & line.rlike(_BULLET), "i")
+        .when((known < full * 0.5) & (full >= 4), "j")
+        .when((tokens <= 24) & (known > full * 0.5) & F.contains(line, F.lit("  ")) & ((_count(line, _GAP) >= 2) | line.rlike(_TWO)), "t")
         .when((full >= 24) & (tokens <= 2) & (~line.rlike(r"^[\p{L}\s-]+$") | line.rlike(r"\p{L}{36,}")), "j")
+        .when((tokens >= 4) & (mixed > tokens * 0.45), "j")
         .when((F.length(line) <= 48) & (tokens <= 7) & ~line.rlike(r"[.!;:,]\s*$") & ~line.rlike(r"^\p{Lu}[\p{Lu} /&-]+$"), "b")
         .otherwise("p")
     )
@@ -83,12 +91,13 @@ def statistics(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     line is one line. Other columns are ignored, repeated rows come out again.
     """
     t = F.coalesce(F.col(text), F.lit(""))
-    kinds = F.transform(F.filter(F.split(t, _LINE_END, -1), lambda x: F.trim(x) != ""), lambda x: F.struct(_line_kind(x).alias("k"), F.length(F.regexp_replace(x, r"\s+", "")).alias("n"), x.rlike(r"[.!?…]['\"»”)]*\s*$").alias("e")))
-    d = df.select(F.col(key), t.alias("__t"), F.filter(F.regexp_extract_all(F.lower(t), F.lit(r"\p{L}[\p{L}'’]*"), F.lit(0)), lambda w: w != "").alias("__w"), kinds.alias("__l"))
+    kinds = F.transform(F.filter(F.split(t, _LINE_END, -1), lambda x: F.trim(x) != ""), _line_facts)
+    d = df.select(F.col(key), t.alias("__t"), F.filter(F.regexp_extract_all(F.lower(t), F.lit(r"\p{L}[\p{L}'’]*"), F.lit(0)), lambda w: w != "").alias("__w"), kinds.alias("__l"), F.split(F.btrim(F.lower(t)), r"\s+").alias("__r"))
     weight = lambda k: F.aggregate(F.filter("__l", lambda x: x["k"].isin(*k)), F.lit(0), lambda s, x: s + x["n"])
     d = d.withColumns({"chars": F.aggregate("__l", F.lit(0), lambda s, x: s + x["n"]), "words": F.size("__w"), "lines": F.size("__l")})
     safe = lambda a, b: F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0)).cast("double")
     c, w, n = F.col("chars"), F.col("words"), F.col("lines")
+    m = F.size("__r") - 1
     return d.select(
         key,
         "chars",
@@ -100,7 +109,7 @@ def statistics(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         safe(F.size(F.filter("__l", lambda x: x["e"])), n).alias("ended_share"),
         safe(F.size(F.filter("__w", lambda x: x.isin(COMMON))), w).alias("common_share"),
         safe(F.size(F.array_distinct("__w")), w).alias("distinct_share"),
-        safe(F.aggregate(F.zip_with(F.slice("__w", F.lit(1), F.greatest(w - 1, F.lit(0))), F.slice("__w", F.lit(2), F.greatest(w - 1, F.lit(0))), lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x), w).alias("repeat_share"),
+        safe(F.aggregate(F.zip_with(F.slice("__r", F.lit(1), m), F.slice("__r", F.lit(2), m), lambda a, b: (a == b).cast("int")), F.lit(0), lambda s, x: s + x), F.size("__r")).alias("repeat_share"),
         safe(w, n).alias("words_a_line"),
         safe(c, n).alias("chars_a_line"),
         safe(weight("i"), c).alias("item_share"),
