@@ -16,6 +16,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.temporal import let
 from ..session import cut_lineage
 
 # Fixed values: (as read, as printed) sequences that scanners confuse.
@@ -46,7 +47,10 @@ def lines_of(text: Column) -> Column:
 
 def is_page_line(line: Column) -> Column:
     """Page numbers, continuation marks, print and fax stamps, running titles."""
-    f = fold(line)
+    return let(F.struct(line.alias("t"), fold(line).alias("f")), lambda x: _page_matter(x["t"], x["f"]))
+
+
+def _page_matter(line: Column, f: Column) -> Column:
     n = r"[0-9olgsbz]{1,4}"  # digits, also folded ones
     page, pg, of = _folded("page"), _folded("pg"), _folded("of")
     number = rf"^[\W_]*(?:{page}|{pg}|{_folded('p')})?[.:]?\s*{n}(?:\s*(?:/|{of}|o.|.f)\s*{n})?[\W_]*$"
@@ -55,8 +59,9 @@ def is_page_line(line: Column) -> Column:
     # A running title: two words or more, each with a capital, a digit or a sign in front, no sentence end.
     title = r"^(?:(?:[\p{Lu}\d][\p{L}\d'’!|/-]*[.:,]?|[&|/–—-]|p\.|of|and|the)(?:\s+|$)){2,14}$"
     has_digit = line.rlike(r"\d|^[\W_]*[lIO][\W_]*$")
-    titled = (F.length(line) <= 160) & line.rlike(title) & ~line.rlike(r"[.?!]$") & line.rlike(r"\p{Lu}\S*\p{L}.*\s") & ~line.rlike(r"\p{Ll}{2}[.,]\s")
-    return (line != "") & ((f.rlike(number) & has_digit) | f.rlike(marks) | f.rlike(stamps) | titled)
+    titled = (F.length(line) <= 160) & line.rlike(r"^(?:\p{Lu}|\d)") & line.rlike(title) & ~line.rlike(r"[.?!]$") & line.rlike(r"\p{Lu}\S*\p{L}.*\s") & ~line.rlike(r"\p{Ll}{2}[.,]\s")
+    short = F.length(line) <= 200  # a line of page matter is no paragraph
+    return (line != "") & short & ((has_digit & f.rlike(number)) | f.rlike(marks) | f.rlike(stamps) | titled)
 
 
 _HYPHEN = r"[-\x{2010}\x{2011}\x{00AD}\x{00AC}]"
@@ -69,16 +74,21 @@ def _trim(token: Column) -> Column:
 
 
 def body(df: DataFrame, text: str) -> DataFrame:
-    """Add ``lines``, ``page_lines`` and ``body`` (the other lines, by newline, hyphens at ends intact)."""
-    df = df.withColumn("lines", F.filter(lines_of(F.col(text)), lambda x: x != ""))
-    df = df.withColumn("page_lines", F.filter("lines", is_page_line))
-    return df.withColumn("body", F.array_join(F.filter("lines", lambda x: ~is_page_line(x)), "\n"))
+    """Add ``page_lines`` and ``body`` (the other lines, by newline, hyphens at ends intact).
+
+    Every line is judged once: the flag travels with it through both lists.
+    """
+    judged = F.transform(F.filter(lines_of(F.col(text)), lambda x: x != ""), lambda x: F.struct(x.alias("t"), is_page_line(x).alias("p")))
+    both = let(judged, lambda a: F.struct(F.transform(F.filter(a, lambda x: x["p"]), lambda x: x["t"]).alias("page_lines"), F.array_join(F.transform(F.filter(a, lambda x: ~x["p"]), lambda x: x["t"]), "\n").alias("body")))
+    df = df.withColumn("__both", both)
+    return df.withColumns({"page_lines": F.col("__both.page_lines"), "body": F.col("__both.body")}).drop("__both")
 
 
 def words(rows: DataFrame) -> DataFrame:
     """(keys, token) of the whole words of ``body``: those at divided line ends are left out."""
     whole = F.regexp_replace("body", SPLIT, " ")
-    return rows.select("source_table", "row_id", F.explode(F.split(whole, r"\s+")).alias("raw")).withColumn("token", _trim(F.col("raw"))).filter("token <> ''").drop("raw")
+    tokens = F.filter(F.transform(F.split(whole, r"\s+"), _trim), lambda x: x != "")
+    return rows.select("source_table", "row_id", F.explode(tokens).alias("token"))
 
 
 def anagram_hash(token: Column) -> Column:
@@ -126,7 +136,7 @@ def repaired(rows: DataFrame) -> dict[str, DataFrame]:
     the corpus counts. Texts are read whole.
     """
     rows = cut_lineage(body(rows.select("source_table", "row_id", "text").filter("text is not null"), "text"))
-    tokens = words(rows)
+    tokens = cut_lineage(words(rows))
     lexicon = cut_lineage(tokens.groupBy("token").agg(F.count("*").alias("n")))
     pieces = rows.select("source_table", "row_id", F.regexp_extract_all("body", F.lit(SPLIT), F.lit(1)).alias("a"), F.regexp_extract_all("body", F.lit(SPLIT), F.lit(2)).alias("b"))
     pieces = pieces.select("source_table", "row_id", F.explode(F.arrays_zip("a", "b")).alias("p")).select("source_table", "row_id", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
