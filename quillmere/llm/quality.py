@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.temporal import let
+from ..functions.temporal import let, once
 from . import labelled
 
 SAMPLE = 1600  # labelled documents the rules are induced on
@@ -84,11 +84,15 @@ def _kind_of(x: Column) -> Column:
     )
 
 
-def statistics(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+MEASURES = ["mean_word_length", "symbol_ratio", "digit_ratio", "ended_share", "common_share", "distinct_share", "repeat_share", "words_a_line", "chars_a_line", "item_share", "short_share", "list_share", "table_share", "noise_share"]
+
+
+def statistics(df: DataFrame, key: str = "doc_id", text: str = "text", only: set[str] | None = None) -> DataFrame:
     """Statistics of each row's text: (key, chars, words, ...), zero or null-safe for null and empty texts.
 
     Shares of lines are weighed by non-blank characters. Texts are read whole; a single long
     line is one line. Other columns are ignored, repeated rows come out again.
+    ``only`` limits the work to the named statistics beside the three counts.
     """
     t = F.coalesce(F.col(text), F.lit(""))
     kinds = F.transform(F.filter(F.split(t, _LINE_END, -1), lambda x: F.trim(x) != ""), _line_facts)
@@ -98,11 +102,10 @@ def statistics(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
     safe = lambda a, b: F.coalesce(a / F.nullif(b, F.lit(0)), F.lit(0.0)).cast("double")
     c, w, n = F.col("chars"), F.col("words"), F.col("lines")
     m = F.size("__r") - 1
-    return d.select(
-        key,
-        "chars",
-        "words",
-        "lines",
+    measured = [
+        c.alias("chars"),
+        w.alias("words"),
+        n.alias("lines"),
         safe(F.aggregate("__w", F.lit(0), lambda s, x: s + F.length(x)), w).alias("mean_word_length"),
         safe(_count(F.col("__t"), r"[^\p{L}\p{N}\s]"), c).alias("symbol_ratio"),
         safe(_count(F.col("__t"), r"\p{N}"), c).alias("digit_ratio"),
@@ -117,7 +120,10 @@ def statistics(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFr
         safe(weight("ib"), c).alias("list_share"),
         safe(weight("t"), c).alias("table_share"),
         safe(weight("j"), c).alias("noise_share"),
-    )
+    ]
+    names = ["chars", "words", "lines", *MEASURES]
+    wanted = [x for x in names if only is None or x in only or x in names[:3]]
+    return once(d, F.struct(*[measured[names.index(x)] for x in wanted]), {x: x for x in wanted}).select(key, *wanted)
 
 
 FEATURES = ["mean_word_length", "symbol_ratio", "digit_ratio", "ended_share", "common_share", "repeat_share", "list_share", "table_share", "noise_share"]
@@ -230,10 +236,15 @@ def learned(spark: SparkSession, sample: int = SAMPLE) -> list[tuple[str, list[C
 
 
 def classify(df: DataFrame, rules: list[tuple[str, list[Condition]]], key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Statistics with ``kind``: 'prose', 'list', 'table', 'junk', null for a text without characters."""
+    """Statistics with ``kind``: 'prose', 'list', 'table', 'junk', null for a text without characters.
+
+    A filter on ``kind`` doesn't measure texts again: the statistics come from ``once``.
+    """
     return statistics(df, key, text).withColumn("kind", F.expr(case_sql(rules)))
 
 
 def found(df: DataFrame) -> DataFrame:
-    d = classify(df, learned(df.sparkSession))
+    rules = learned(df.sparkSession)
+    used = {c.feature for _, rule in rules for c in rule}
+    d = statistics(df, only=used).withColumn("kind", F.expr(case_sql(rules)))
     return d.filter("kind in ('list', 'table', 'junk')").select("doc_id", "kind")
