@@ -107,7 +107,6 @@ def parse_mixed(df: DataFrame, value: str, clock: str | None = None, zone: str |
     * An order other than 'MDY' or 'DMY' (or null) reads as 'MDY'.
     * Existing columns of the two names are replaced; no row is dropped or repeated.
     """
-    t = f"__{prefix}_"
     dmy = F.coalesce(F.upper(F.trim(F.col(order))) == "DMY", F.lit(False)) if order else F.lit(False)
     place = F.coalesce(F.nullif(F.trim(F.col(zone)), F.lit("")), F.lit("UTC")) if zone else F.lit("UTC")
     empty = F.array().cast("array<string>")
@@ -120,8 +119,17 @@ def parse_mixed(df: DataFrame, value: str, clock: str | None = None, zone: str |
     )
     read = let(raw, lambda x: F.when(F.size(x["a"]) == len(_NAMES), _components(x)))
     done = let(read, _assembled)
-    df = df.withColumn(t + "done", done)
-    return df.withColumns({f"{prefix}_day": F.col(t + "done.day"), f"{prefix}_epoch": F.col(t + "done.epoch")}).drop(t + "done")
+    return once(df, done, {"day": f"{prefix}_day", "epoch": f"{prefix}_epoch"})
+
+
+def once(df: DataFrame, record: Column, names: dict[str, str]) -> DataFrame:
+    """Add all fields of a struct, in order, under the names of ``names``, evaluated once per row.
+
+    A filter on a plain computed column is pushed below the projection, which evaluates the
+    expression again; a one-row generator stops that. Existing columns of the names go.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in names.values()]
+    return df.select(*kept, F.inline(F.array(record)).alias(*names.values()))
 
 
 def let(value: Column, body) -> Column:
