@@ -65,7 +65,7 @@ def _page_matter(line: Column, f: Column) -> Column:
 
 
 _HYPHEN = r"[-\x{2010}\x{2011}\x{00AD}\x{00AC}]"
-SPLIT = rf"([^\s\n]*[\p{{L}}\d]){_HYPHEN} *\n([\p{{L}}\d!|][^\s\n]*)"
+SPLIT = rf"(?<!\S)(\S*[\p{{L}}\d]){_HYPHEN} *\n([\p{{L}}\d!|][^\s\n]*)"
 
 
 def _trim(token: Column) -> Column:
