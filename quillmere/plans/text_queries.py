@@ -217,6 +217,16 @@ def clean_truncate(t):
     return t.documents.filter("text is not null").select("doc_id", F.substring("text", 1, 500).alias("head"), (F.length("text") > 500).alias("was_cut"))
 
 
+_INPUT_CHARS = 20_000  # the reference's limit of one extraction input
+
+
+@R.query(f"""select doc_id, left(text, {_INPUT_CHARS}) as head, length(text) > {_INPUT_CHARS} as was_cut, length(text) as n_chars from documents where text is not null""")
+def extraction_input(t):
+    """Input of an extraction step: whole texts up to the reference's limit, a flag and the true length beyond."""
+    c = F.col("text")
+    return t.documents.filter("text is not null").select("doc_id", F.substring(c, 1, _INPUT_CHARS).alias("head"), (F.length(c) > _INPUT_CHARS).alias("was_cut"), F.length(c).cast("bigint").alias("n_chars"))
+
+
 @R.query()
 def clean_findings(t):
     """Findings cut at the next heading and lone years removed (look-around: no oracle)."""
