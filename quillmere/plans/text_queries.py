@@ -154,6 +154,24 @@ def scrub_names_dictionary(t):
     return tokens.join(known, "n").groupBy("annotation_id").agg(F.count("*").alias("n_names"))
 
 
+_AMBIGUOUS_SQL = ", ".join(f"'{n}'" for n in ["nan", *tx.AMBIGUOUS_NAMES])
+
+
+@R.query(rf"""with d as (select distinct regexp_replace(lower(n), '^[^\pL\pN_]+|[^\pL\pN_]+$', '', 'g') as n from (select last_name as n from recordings union all select first_name from recordings)),
+             names as (select n, regexp_extract(n, '[\pL\pN_]+') as w from d where length(n) >= 4 and n not in ({_AMBIGUOUS_SQL})),
+             words as (select annotation_id, unnest(list_distinct(regexp_extract_all(lower(text), '[\pL\pN_]+'))) as w from annotations where text is not null),
+             hits as (select annotation_id, '(?i)(^|[^\pL\pN_])(?:' || string_agg(regexp_escape(n), '|' order by length(n) desc, n) || ')($|[^\pL\pN_])' as p from words join names using (w) group by 1)
+             select annotation_id, case when p is null then text else regexp_replace(regexp_replace(text, p, '\1[NAME]\2', 'g'), p, '\1[NAME]\2', 'g') end as scrubbed
+             from annotations left join hits using (annotation_id) where text is not null""")
+def scrub_names_text(t):
+    """Every annotation with the dictionary's names replaced: words meet the names' first words by equality, each row replaces its own hits."""
+    a = t.annotations.filter("text is not null").select("annotation_id", "text")
+    known = t.recordings.select(F.explode(F.array("last_name", "first_name")).alias("n")).select(tx.dictionary_name(F.col("n")).alias("n")).filter("n is not null").distinct()
+    known = known.select("n", F.regexp_extract("n", r"(?U)(\w+)", 1).alias("w"))
+    hits = a.select("annotation_id", F.explode(tx.words(F.col("text"))).alias("w")).join(known, "w").groupBy("annotation_id").agg(F.collect_set("n").alias("names"))
+    return a.join(hits, "annotation_id", "left").select("annotation_id", tx.scrub_any(F.col("text"), F.coalesce("names", F.array().cast("array<string>"))).alias("scrubbed"))
+
+
 @R.query()
 def scrub_own_names(t):
     """The folder's own names in its annotations; each folder brings its words once."""

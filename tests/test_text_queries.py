@@ -12,3 +12,12 @@ def test_extraction_input_cuts_at_the_limit_only(spark, tmp_path):
     write(spark, tmp_path, "documents", list(enumerate(texts)), "doc_id bigint, text string")
     got = {r.doc_id: (r.head, r.was_cut, r.n_chars) for r in catalogue.queries()["extraction_input"](spark, str(tmp_path)).collect()}
     assert got == {0: ("", False, 0), 1: ("a" * 501, False, 501), 2: ("b" * 20_000, False, 20_000), 3: ("c" * 20_000, True, 20_004)}
+
+
+def test_dictionary_names_are_replaced_in_every_text(spark, tmp_path):
+    names = [("Ostrander", "Mark"), ("Müller-Lüd", "José"), ("van der Berg", "Al"), ("Spike", "nan"), ("Smith", "Smithson"), (None, "Zoltan")]
+    write(spark, tmp_path, "recordings", names, "last_name string, first_name string")
+    texts = ["Mark spike OSTRANDER, ostrander's mother", "José Müller-Lüd sat up", "seen by Van Der Berg; van alone, Al", "Smithson Smith Smiths", "no name", "", None, "zoltan"]
+    write(spark, tmp_path, "annotations", list(enumerate(texts)), "annotation_id bigint, text string")
+    got = {r.annotation_id: r.scrubbed for r in catalogue.queries()["scrub_names_text"](spark, str(tmp_path)).collect()}
+    assert got == {0: "Mark spike [NAME], [NAME]'s mother", 1: "[NAME] [NAME] sat up", 2: "seen by [NAME]; van alone, Al", 3: "[NAME] [NAME] Smiths", 4: "no name", 5: "", 7: "[NAME]"}
