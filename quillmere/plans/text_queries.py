@@ -90,6 +90,37 @@ def segment_sections(t):
     return sections.sections(d, "study_id", ["page_start", "doc_id"], "kind", "page_start", "chars", "score")
 
 
+# The reference's patterns know all white space and letters and let a dot meet every character but a line feed.
+_PAGE_FLAGS = "idU"
+
+
+def _page_sql() -> str:
+    """SQL columns score and name of the page rules over ``text``."""
+    hits = lambda ps: " + ".join("cast(regexp_matches(text, '(?i)" + p.replace(r"\s", r"[\s\pZ\x0b\x85]").replace(r"\d", r"\p{Nd}").replace(r"\w", r"[\pL\pM\p{Nd}\p{Pc}]") + "') as integer)" for p in ps)
+    parts = [f"({hits(ps)}) * {w}" for _, ps, w in sections.PAGE_RULES]
+    names = "[" + ", ".join(f"'{n}'" for n, _, _ in sections.PAGE_RULES) + "]"
+    return f"list_max([{', '.join(parts)}]) as score, case when list_max([{', '.join(parts)}]) > 0 then {names}[list_position([{', '.join(parts)}], list_max([{', '.join(parts)}]))] end as name"
+
+
+@R.query(f"select doc_id, {_page_sql()} from documents where text is not null")
+def page_types(t):
+    """The ten page rules on every page."""
+    c = tx.weighted_class(F.col("text"), sections.PAGE_RULES, _PAGE_FLAGS)
+    return t.documents.filter("text is not null").select("doc_id", c.alias("c")).select("doc_id", "c.score", "c.name")
+
+
+@R.query(f"""with pages as (select study_id, page_start, doc_id, name as kind, score, length(text) as chars
+             from (select *, {_page_sql()} from documents where study_id is not null and page_start is not null and text is not null)), {_FILLED}
+             select study_id, cast(island as bigint) as island, k as kind, min(page_start) as page_start, max(page_start) as page_end, count(*) as n_pages, cast(sum(chars) as bigint) as total_chars,
+             max(score) as max_score, case when max(score) >= 6 then 'high' when max(score) >= 3 then 'medium' else 'low' end as confidence from runs group by 1, 2, 3""")
+def packet_sections(t):
+    """Packets segmented by the ten page rules, with their scores."""
+    c = tx.weighted_class(F.col("text"), sections.PAGE_RULES, _PAGE_FLAGS)
+    pages = t.documents.filter("study_id is not null and page_start is not null and text is not null")
+    d = pages.select("study_id", "page_start", "doc_id", F.length("text").alias("chars"), c.alias("c")).select("study_id", "page_start", "doc_id", "chars", F.col("c.name").alias("kind"), "c.score")
+    return sections.sections(d, "study_id", ["page_start", "doc_id"], "kind", "page_start", "chars", "score")
+
+
 @R.query(f"""with {_PAGES}, spans as (select study_id, min(page_start) as page_start, max(page_start) as page_end from pages where kind is not null group by 1)
              select s.study_id, s.page_start, s.page_end, string_agg(p.text, chr(12) order by p.page_start, p.text) as section_text
              from spans s join pages p on s.study_id = p.study_id and p.page_start between s.page_start and s.page_end group by 1, 2, 3""")
