@@ -161,3 +161,10 @@ def test_entry_is_usable_without_optional_modules(spark):
 
     assert set(e.oracle_sql()) <= set(e.queries())
     assert {"folder_name", "kind", "start_epoch", "end_epoch"} == set(e.entry(spark).columns)
+
+
+def test_monitoring_hours(spark):
+    text = "03/04 1:00 PM - 2:00 PM CST Yes good 97\nAnna - 03/04/2024 2:05 PM\n03/04 2:00 PM - 3:00 PM No\n55"
+    d = spark.createDataFrame([("p", i, x) for i, x in enumerate(text.split("\n"))], "packet string, n int, line string")
+    got = [(r.time_start, r.time_end, r.timezone, r.recording_on, r.battery_pct, r.reviewer_name) for r in sections.monitoring_hours(d, "packet", "n", "line").orderBy("record").collect()]
+    assert got == [("1:00 PM", "2:00 PM", "CST", True, 97, "Anna"), ("2:00 PM", "3:00 PM", None, False, 55, None)]
