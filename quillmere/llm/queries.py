@@ -35,6 +35,12 @@ def p4_found(spark, sf_dir):
     return entities.found(p4_matched(spark, sf_dir))
 
 
+def p4_reliability(spark, sf_dir):
+    """Calibrated confidences of one half of the studies against the other."""
+    t = lambda n: load(spark, sf_dir, n)
+    return entities.reliability(t("studies"), t("recordings"), t("sites"))
+
+
 def _reports(spark, sf_dir):
     return scanned.reports(load(spark, sf_dir, "technologist_impression"), load(spark, sf_dir, "eeg_background"))
 
@@ -80,6 +86,7 @@ QUERIES = {
     "p3_redacted": p3_redacted,
     "p4_found": p4_found,
     "p4_matched": p4_matched,
+    "p4_reliability": p4_reliability,
     "p6_found": p6_found,
     "p6_repaired": p6_repaired,
     "p7_ids": p7_ids,
