@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from ..session import cut_lineage
 from ..sources.tables import load
 from . import canonical, entities, mixing, pii, quality, scanned, tokens
 
@@ -57,10 +58,14 @@ def p7_ids(spark, sf_dir):
     return tokens.encode(load(spark, sf_dir, "documents"))
 
 
+def p7_blocks(spark, sf_dir):
+    """Documents packed to blocks longer than a chunk: their ids and the number of stitched pieces."""
+    return tokens.encode(tokens.blocks(load(spark, sf_dir, "documents")), key="block", count_pieces=True)
+
+
 def _sized(spark, sf_dir):
     """Documents with their size in tokens."""
-    d = load(spark, sf_dir, "documents")
-    return d.select("doc_id", "source").join(tokens.token_counts(d), "doc_id")
+    return tokens.token_counts(load(spark, sf_dir, "documents"), keep=("source",))
 
 
 def p8_mix(spark, sf_dir):
@@ -68,7 +73,7 @@ def p8_mix(spark, sf_dir):
 
 
 def p8_shares(spark, sf_dir):
-    sized, targets = _sized(spark, sf_dir), load(spark, sf_dir, "source_targets")
+    sized, targets = cut_lineage(_sized(spark, sf_dir)), load(spark, sf_dir, "source_targets")
     return mixing.shares(mixing.mix(sized, targets), sized, targets)
 
 
@@ -90,6 +95,7 @@ QUERIES = {
     "p6_found": p6_found,
     "p6_repaired": p6_repaired,
     "p7_ids": p7_ids,
+    "p7_blocks": p7_blocks,
     "p8_mix": p8_mix,
     "p8_shares": p8_shares,
     "p9_found": p9_found,

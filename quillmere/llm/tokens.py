@@ -105,29 +105,44 @@ def pieces(docs: DataFrame, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataF
     return p.select("key", "at", F.expr("substring(text, at + 1, coalesce(get(cuts, i + 1), length(text)) - at)").alias("text"))
 
 
-def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+def encode(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, chunk: int = CHUNK, overlap: int = OVERLAP, count_pieces: bool = False) -> DataFrame:
     """(key, ids): token ids of each row's text, no special tokens; null and empty text: an empty list.
 
     Repeated rows come out as often as they came in if their keys differ; ``key`` must be
-    unique. The rank file's ``path`` must be readable on every executor.
+    unique. The rank file's ``path`` must be readable on every executor. ``count_pieces`` adds
+    ``pieces``, the number of independently encoded pieces of the text.
     """
     path = path or vocabulary_path()
     kind = docs.schema[key].dataType.simpleString()
     d = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    short = d.filter(F.coalesce(F.length("text"), F.lit(0)) <= chunk).mapInArrow(_encode(path, True), f"key {kind}, ids array<int>")
+    short = d.filter(F.coalesce(F.length("text"), F.lit(0)) <= chunk).mapInArrow(_encode(path, True), f"key {kind}, ids array<int>").withColumn("pieces", F.lit(1))
     parts = pieces(d, chunk, overlap).repartition("key", "at").mapInArrow(_encode(path, True), f"key {kind}, at int, ids array<int>")
-    whole = parts.groupBy("key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "ids"))), lambda x: x["ids"])).alias("ids"))
-    return short.unionByName(whole).withColumnRenamed("key", key)
+    whole = parts.groupBy("key").agg(F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("at", "ids"))), lambda x: x["ids"])).alias("ids"), F.count("*").cast("int").alias("pieces"))
+    return short.unionByName(whole).select(F.col("key").alias(key), "ids", *["pieces"] * count_pieces)
 
 
-def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None) -> DataFrame:
-    """(key, tokens): sizes alone, for texts of any length."""
+def blocks(docs: DataFrame, size: int = 200) -> DataFrame:
+    """(block, text): the texts of ``size`` consecutive ids as one, parted by an empty line.
+
+    A block holds at most ``size`` documents as ids are unique; null and empty texts take no part in it.
+    """
+    rows = docs.filter("text <> ''").select(F.floor(F.col("doc_id") / size).alias("block"), F.struct("doc_id", "text").alias("d"))
+    return rows.groupBy("block").agg(F.array_join(F.transform(F.array_sort(F.collect_list("d")), lambda x: x["text"]), "\n\n").alias("text"))
+
+
+def token_counts(docs: DataFrame, key: str = "doc_id", text: str = "text", path: str | None = None, keep: tuple[str, ...] = (), chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """(key, *keep, tokens): sizes alone, for texts of any length, with the row's columns ``keep``."""
     path = path or vocabulary_path()
     kind = docs.schema[key].dataType.simpleString()
-    d = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    short = d.filter(F.coalesce(F.length("text"), F.lit(0)) <= CHUNK).mapInArrow(_encode(path, False), f"key {kind}, tokens bigint")
-    parts = pieces(d).repartition("key", "at").mapInArrow(_encode(path, False), f"key {kind}, at int, tokens bigint")
-    return short.unionByName(parts.groupBy("key").agg(F.sum("tokens").alias("tokens"))).withColumnRenamed("key", key)
+    d = docs.select(F.col(key).alias("key"), F.col(text).alias("text"), *[F.col(c).alias(f"k_{c}") for c in keep])
+    kept = "".join(f", k_{c} {docs.schema[c].dataType.simpleString()}" for c in keep)
+    short = d.filter(F.coalesce(F.length("text"), F.lit(0)) <= chunk).mapInArrow(_encode(path, False), f"key {kind}{kept}, tokens bigint")
+    parts = pieces(d.select("key", "text"), chunk, overlap).repartition("key", "at").mapInArrow(_encode(path, False), f"key {kind}, at int, tokens bigint")
+    long = parts.groupBy("key").agg(F.sum("tokens").alias("tokens"))
+    if keep:
+        long = long.join(d.filter(F.length("text") > chunk).drop("text"), "key")
+    out = short.unionByName(long)
+    return out.select(F.col("key").alias(key), *[F.col(f"k_{c}").alias(c) for c in keep], "tokens")
 
 
 def decode(ids: DataFrame, key: str = "doc_id", path: str | None = None) -> DataFrame:

@@ -37,6 +37,25 @@ def test_counts(spark):
     assert {r.doc_id: r.tokens for r in tokens.token_counts(frame(spark, TEXTS)).collect()} == {i: len(enc.encode_ordinary(t)) if t else 0 for i, t in enumerate(TEXTS)}
 
 
+def test_counts_of_long_texts_keep_columns(spark):
+    enc = tokens._encoding(tokens.vocabulary_path())
+    got = tokens.token_counts(frame(spark, TEXTS).withColumnRenamed("key", "source"), keep=("source",), chunk=300, overlap=60).collect()
+    assert {(r.doc_id, r.source, r.tokens) for r in got} == {(i, 5, len(enc.encode_ordinary(t)) if t else 0) for i, t in enumerate(TEXTS)} and len(got) == len(TEXTS)
+
+
+def test_blocks_take_the_chunk_path(spark):
+    """Blocks of the real documents exceed the production chunk, are cut, and equal whole-text encoding."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    b = tokens.blocks(docs)
+    whole = {r.block: r.text for r in b.collect()}
+    enc = tokens._encoding(tokens.vocabulary_path())
+    got = tokens.encode(b, key="block", count_pieces=True).collect()
+    assert {r.block: list(r.ids) for r in got} == {k: enc.encode_ordinary(t) for k, t in whole.items()}
+    long = {k for k, t in whole.items() if len(t) > tokens.CHUNK}
+    assert long and all(r.pieces > 1 for r in got if r.block in long)
+    assert tokens.blocks(docs.limit(0)).count() == 0
+
+
 TARGETS = [("a", 0.5, 1), ("b", 0.3, 3), ("c", 0.2, 2), ("absent", 0.1, 5), ("zero", 0.0, 0)]
 
 
@@ -53,7 +72,8 @@ def test_mix_meets_its_shares(spark):
     assert {k: round(r.actual_share, 2) for k, r in s.items()} == {"a": 0.5, "b": 0.3, "c": 0.2, "absent": 0.0, "zero": 0.0}
     assert all(r.most_copies <= r.max_repeats for r in s.values())
     assert m.count() == m.select("doc_id").distinct().count()
-    assert sorted(map(tuple, m.collect())) == sorted(map(tuple, mixing.mix(d.repartition(3), t).collect()))
+    for n in (1, 3, 7):
+        assert sorted(map(tuple, m.collect())) == sorted(map(tuple, mixing.mix(d.repartition(n), t).collect()))
 
 
 def test_mix_of_given_size_and_edges(spark):
