@@ -7,24 +7,30 @@ map-only plan: no shuffle, no Python worker, no broadcast.
 Numbers and dates get format-preserving pseudonyms: their digits run through a keyed Feistel
 network and return to the places of the old ones, so equal values stay equal across
 documents while separators, length and layout stay. Names, addresses and e-mail addresses
-get a typed tag with a short keyed hash. The permutations can be undone with the key.
+get a typed tag with 64 bits of a keyed hash (HMAC-SHA-256). The permutations can be undone with the key.
+
+A case is replaced where it was found: its pass leaves a mark of its own in the text, and the
+marks become placeholders in the end, so no other place of the text changes.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.temporal import days_from_civil, let, valid_civil
+from ..functions.temporal import days_from_civil, expand_year, let, valid_civil
 
 ROUNDS = 10
-CUT = "\u0002"
+MARKS = "\u0002\u0005\u0006\u0007\u000e\u000f"  # what each pass leaves in place of a match, the names last
+CUT, OWN = MARKS[0], "\u0010"  # OWN: a control character that was in the text itself
 
 # No repetition of a group is unbounded and every scan starts at a word: texts may be of any length.
 # --- patterns: group 1 is the value -------------------------------------------------
 
 _DOT = r"(?:\.|\s?\(dot\)\s?|\s?\[dot\]\s?|\sdot\s)"
-EMAIL = rf"(?i)(?<![a-z0-9_+%.-])((?:[a-z0-9_+%-]{{1,64}}{_DOT}){{0,6}}[a-z0-9_+%-]{{1,64}}\s?(?:@|\(at\)|\[at\]|\{{at\}}|\sat(?=\s[a-z0-9-]+\sdot\s))\s?[a-z0-9-]{{1,64}}(?:{_DOT}[a-z0-9-]{{1,64}}){{1,6}})"
+EMAIL = rf"(?i)(?<![a-z0-9_+%.-])((?:[a-z0-9_+%-]{{1,64}}{_DOT}){{0,30}}[a-z0-9_+%-]{{1,64}}\s?(?:@|\(at\)|\[at\]|\{{at\}}|\sat(?=\s[a-z0-9-]+\sdot\s))\s?[a-z0-9-]{{1,64}}(?:{_DOT}[a-z0-9-]{{1,64}}){{1,30}})"
 
 _STREET = (
     "street|st\\.?|road|rd\\.?|avenue|ave\\.?|boulevard|blvd\\.?|lane|ln\\.?|drive|dr\\.?|court|ct\\.?|terrace|ter\\.?|mews|way|place|pl\\.?|square|sq\\.?|"
@@ -46,7 +52,7 @@ _LABEL = (
     r"passport(?: (?:no|number)\b\.?)?|driver'?s? lic(?:en[sc]e)?\.?(?: (?:no|number)\b\.?)?|lic(?:en[sc]e)?\.?(?: (?:no|number)\b\.?)|dl(?: no)?\.?|"
     r"ins(?:urance)?\.? ?(?:id|no|number|policy)\b\.?|member ?(?:id|no|number)\b\.?|policy(?: (?:no|number|id)\b\.?)?|patient id|pt id|medicare|medicaid"
 )
-ID_NUMBER = rf"(?<![\p{{L}}\d])(?i:{_LABEL})\s?[:#=]?\s?((?:[A-Z]{{1,4}}[ -]?)?\d(?:[ -]?\d){{3,30}}(?:[A-Z](?![\p{{L}}]))?)(?![\d])"
+ID_NUMBER = rf"(?<![\p{{L}}\d])(?i:{_LABEL})\s?[:#=]?\s?((?:[A-Z]{{1,4}}[ -]?)?(?=(?:\d[ -]?){{3}}\d)\d++(?:[ -]\d++){{0,60}}(?:[A-Z](?![\p{{L}}]))?)(?![\d])"
 BARE_ID = r"(?<![\w+.-])(\d{3}-\d{2}-\d{4})(?![\w-])"
 
 PHONE = (
@@ -68,7 +74,7 @@ _NO = (
 )
 _W = rf"{_NO}\p{{Lu}}\p{{L}}{{1,40}}+(?:['’](?!s\b)\p{{L}}{{1,40}})?(?:-\p{{Lu}}\p{{L}}{{1,40}}){{0,3}}"
 _I = r"\p{Lu}\.?(?![\p{L}\d])"
-_ONE = rf"(?:{_I} ?){{0,2}}{_W}(?: (?:{_W}|{_I}|(?:von|van|de|der|la|del|bin)(?= \p{{Lu}}))){{0,3}}"
+_ONE = rf"(?:{_I} ?){{0,2}}{_W}(?: (?:{_W}|{_I}|(?:von|van|de|der|la|del|bin)(?= \p{{Lu}}))){{0,9}}"
 _TURNED = rf"{_W}(?: {_W})?, {_W}(?: {_I})?(?! \p{{Lu}}\p{{Ll}}|['’]s phone| \()"
 _LOWER = r"(?!(?:and|or|the|a|an|his|her|their|who|was|is|has|had|not|did|in|on|at|to|ate|for|by|with|of)\b)\p{Ll}{2,40}(?: \p{Ll}\.?)? (?!(?:and|or|the|at|in|on|to|said|says|called|notified|was|is)\b)\p{Ll}{3,40}"
 _CLIENT = r"(?:[Pp]t|[Pp]atient|PT|PATIENT|[Ee]mergency contact|[Cc]aregiver|[Gg]uardian|[Pp]arent|[Cc]ontact)\.? "
@@ -88,25 +94,46 @@ KINDS = [("EMAIL", EMAIL), ("ADDRESS", ADDRESS), ("ID_NUMBER", ID_NUMBER), ("ID_
 HINT = r"\d[\d .()/-]{5,}|\d[a-z]? \p{L}+ \p{L}{2}|@|(?i:\Wat\W|\b(?:box|pt|patient|contact)\b)|(?:^|[ \n(])\p{Lu}[\p{L}.]"
 
 
+def _passes(df: DataFrame, text: str, whole: bool = False) -> DataFrame:
+    """Add ``__left``, the text with a mark for each case, and the values of each pass in order: ``__k0`` ...
+
+    ``whole`` adds ``__w0`` ..., the matches the values end, and keeps the text's own marks as OWN, listed in ``__own``.
+    """
+    t = F.col(text)
+    hinted = F.coalesce(t.rlike(HINT), F.lit(False))
+    if whole:
+        df = df.withColumn("__own", F.regexp_extract_all(t, F.lit(f"[{MARKS}{OWN}]"), F.lit(0)))
+        t = F.when(F.size("__own") > 0, F.regexp_replace(t, f"[{MARKS}{OWN}]", OWN)).otherwise(t)
+    df = df.withColumn("__left", t if whole else F.when(hinted, t)).withColumn("__hint", hinted)
+    for k, (_, pattern) in enumerate(KINDS):
+        got = f"__k{k}"
+        df = df.withColumn(got, F.when(F.col("__hint"), F.regexp_extract_all("__left", F.lit(pattern), F.lit(1))))
+        if whole:
+            df = df.withColumn(f"__w{k}", F.when(F.size(got) > 0, F.regexp_extract_all("__left", F.lit(pattern), F.lit(0))))
+        df = df.withColumn("__left", F.when(F.size(got) > 0, F.regexp_replace("__left", pattern, MARKS[k])).otherwise(F.col("__left")))
+    # One pass for names: the whole match comes out, its groups are read from it again.
+    k = len(KINDS)
+    named = F.col("__hint") & F.col("__left").rlike(r"\p{Lu}|(?i:\b(?:pt|patient|contact)\b)")
+    df = df.withColumn(f"__k{k}", F.when(named, F.regexp_extract_all(F.regexp_replace("__left", NAME, "\u0003$1$2$3$4$5$6$7$8\u0004"), F.lit("\u0003([^\u0004]+)\u0004"), F.lit(1))))
+    if whole:
+        df = df.withColumn(f"__w{k}", F.when(F.size(f"__k{k}") > 0, F.regexp_extract_all("__left", F.lit(NAME), F.lit(0))))
+        df = df.withColumn("__left", F.when(F.size(f"__k{k}") > 0, F.regexp_replace("__left", NAME, MARKS[k])).otherwise(F.col("__left")))
+    return df.drop("__hint")
+
+
+PASSES = [kind for kind, _ in KINDS] + ["NAME"]
+
+
 def find(df: DataFrame, text: str, out: str = "pii") -> DataFrame:
     """Add ``out``: array of struct(kind, value), values exactly as in the text.
 
     Null, empty and blank texts give an empty array; repeated mentions repeat. Texts of any
     length are scanned whole. Other columns stay, one named ``out`` is replaced.
     """
-    t, parts = F.col(text), []
-    df = df.withColumn("__left", F.when(t.rlike(HINT), t))
-    for k, (kind, pattern) in enumerate(KINDS):
-        got = f"__k{k}"
-        df = df.withColumn(got, F.regexp_extract_all("__left", F.lit(pattern), F.lit(1)))
-        df = df.withColumn("__left", F.when(F.size(got) > 0, F.regexp_replace("__left", pattern, CUT)).otherwise(F.col("__left")))
-        parts.append(_tagged(got, kind))
-    # One pass for names: the whole match comes out, its groups are read from it again.
-    df = df.withColumn("__names", F.when(F.col("__left").rlike(r"\p{Lu}|(?i:\b(?:pt|patient|contact)\b)"), F.regexp_extract_all(F.regexp_replace("__left", NAME, "\u0003$1$2$3$4$5$6$7$8\u0004"), F.lit("\u0003([^\u0004]+)\u0004"), F.lit(1))))
-    parts.append(_tagged("__names", "NAME"))
+    df = _passes(df, text)
     empty = F.array().cast("array<struct<kind:string,value:string>>")
-    found = F.filter(F.concat(*[F.coalesce(p, empty) for p in parts]), lambda x: x["value"] != "")
-    return df.withColumn(out, found).drop("__left", "__names", *[f"__k{k}" for k in range(len(KINDS))])
+    found = F.filter(F.concat(*[F.coalesce(_tagged(f"__k{k}", kind), empty) for k, kind in enumerate(PASSES)]), lambda x: x["value"] != "")
+    return df.withColumn(out, found).drop("__left", *[f"__k{k}" for k in range(len(PASSES))])
 
 
 def _tagged(column: str, kind: str) -> Column:
@@ -116,20 +143,28 @@ def _tagged(column: str, kind: str) -> Column:
 # --- pseudonyms ---------------------------------------------------------------------
 
 
-def _prf(key: Column, i: Column, n: Column, half: Column, width: Column) -> Column:
+def keyed_hash(message: Column, key: str) -> Column:
+    """HMAC-SHA-256 of the message as hexadecimal digits."""
+    secret = key.encode()
+    secret = (hashlib.sha256(secret).digest() if len(secret) > 64 else secret).ljust(64, b"\0")
+    inner, outer = bytes(x ^ 0x36 for x in secret), bytes(x ^ 0x5C for x in secret)
+    return F.sha2(F.concat(F.lit(outer), F.unhex(F.sha2(F.concat(F.lit(inner), F.encode(message, "UTF-8")), 256))), 256)
+
+
+def _prf(key: str, tweak: Column, half: Column, width: Column) -> Column:
     """Keyed round function: a number of at most ``width`` decimal digits."""
-    h = F.conv(F.substring(F.sha2(F.concat_ws("|", key, i.cast("string"), n.cast("string"), half.cast("string")), 256), 1, 14), 16, 10).cast("decimal(20,0)")
+    h = F.conv(F.substring(keyed_hash(F.concat_ws("|", tweak, half.cast("string")), key), 1, 15), 16, 10).cast("decimal(20,0)")
     return (h % F.rpad(F.lit("1"), width + 1, "0").cast("decimal(20,0)")).cast("bigint")
 
 
 def permute_digits(digits: Column, key: str, inverse: bool = False) -> Column:
-    """A digit string of 2 to 36 digits through a keyed Feistel network of its own length.
+    """A digit string of 2 digits or more through a keyed Feistel network of its own length.
 
-    Shorter and longer strings, and anything with other characters, come back unchanged.
+    Beyond 34 digits it is permuted in even blocks, each with its place as a tweak. Single
+    digits and anything with other characters come back unchanged.
     """
-    k = F.lit(key)
 
-    def body(d: Column) -> Column:
+    def block(d: Column, place: Column) -> Column:
         n = F.length(d)
         u = F.floor(n / 2).cast("int")
         v = n - u
@@ -138,14 +173,22 @@ def permute_digits(digits: Column, key: str, inverse: bool = False) -> Column:
 
         def step(s: Column, i: Column) -> Column:
             pu, pv = F.rpad(F.lit("1"), u + 1, "0").cast("bigint"), F.rpad(F.lit("1"), v + 1, "0").cast("bigint")
-            a = F.pmod(s["a"] + sign * _prf(k, i, n, s["b"], u), pu)
-            b = F.pmod(s["b"] + sign * _prf(k, i, n, s["a"], v), pv)
+            tweak = F.concat_ws("|", i.cast("string"), n.cast("string"), place)
+            a = F.pmod(s["a"] + sign * _prf(key, tweak, s["b"], u), pu)
+            b = F.pmod(s["b"] + sign * _prf(key, tweak, s["a"], v), pv)
             return F.when(i % 2 == 0, F.struct(a.alias("a"), s["b"].alias("b"))).otherwise(F.struct(s["a"].alias("a"), b.alias("b")))
 
         order = F.sequence(F.lit(ROUNDS), F.lit(1)) if inverse else F.sequence(F.lit(1), F.lit(ROUNDS))
         return F.aggregate(order, start, step, lambda s: F.concat(F.lpad(s["a"].cast("string"), u, "0"), F.lpad(s["b"].cast("string"), v, "0")))
 
-    return F.when(digits.rlike(r"^\d{2,34}$"), let(digits, body)).otherwise(digits)
+    def body(d: Column) -> Column:
+        n = F.length(d)
+        parts = F.ceil(n / 34).cast("int")
+        edge = lambda i: F.floor(i * n / parts).cast("int")
+        cut = F.transform(F.sequence(F.lit(0), parts - 1), lambda i: F.struct(i.cast("string").alias("i"), F.substr(d, edge(i) + 1, edge(i + 1) - edge(i)).alias("d")))
+        return F.array_join(F.transform(cut, lambda x: block(x["d"], x["i"])), "")
+
+    return F.when(digits.rlike(r"^\d{2,}$"), let(digits, body)).otherwise(digits)
 
 
 def permute_in_format(value: Column, key: str, inverse: bool = False) -> Column:
@@ -170,64 +213,119 @@ def permute_in_format(value: Column, key: str, inverse: bool = False) -> Column:
     )
 
 
-DATE_SPAN = 36525  # days from 1926-01-01 that dates are permuted within
+DATE_SPAN = 36525  # days from 1926-01-01 that dates are permuted within; earlier and later centuries likewise
+_FIRST = -16071  # 1926-01-01
 
 
 def permute_date(day: Column, key: str, inverse: bool = False) -> Column:
-    """A day number within a century permuted by cycle walking; days outside stay."""
-    first = -16071  # 1926-01-01
+    """A day number permuted within its century by cycle walking."""
     walk = lambda s, _: F.when(s["i"] > 0, F.when(s["n"].cast("int") < DATE_SPAN, s).otherwise(_hop(s, key, inverse))).otherwise(_hop(s, key, inverse))
-    start = F.struct(F.lpad((day - first).cast("string"), 5, "0").alias("n"), F.lit(0).alias("i"))
+    offset = F.pmod(day - _FIRST, F.lit(DATE_SPAN))
+    start = F.struct(F.lpad(offset.cast("string"), 5, "0").alias("n"), F.lit(0).alias("i"))
     # A hop leaves the century with probability 0.63, so 96 hops suffice for all but a share of 1e-19.
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(96)), start, walk, lambda s: s["n"].cast("int") + first)
-    return F.when(day.between(first, first + DATE_SPAN - 1), end).otherwise(day)
+    return F.aggregate(F.sequence(F.lit(1), F.lit(96)), start, walk, lambda s: s["n"].cast("int") + (day - offset))
 
 
 def _hop(s: Column, key: str, inverse: bool) -> Column:
     return F.struct(permute_digits(s["n"], key + "/date", inverse).alias("n"), (s["i"] + 1).alias("i"))
 
 
-def placeholder(kind: Column, value: Column, key: str) -> Column:
-    tag = F.upper(F.substring(F.sha2(F.concat_ws("|", F.lit(key), kind, F.lower(value)), 256), 1, 6))
-    return F.when(kind.isin("PHONE", "ID_NUMBER"), F.concat(F.lit("["), kind, F.lit(" "), permute_in_format(value, key), F.lit("]"))).otherwise(F.concat(F.lit("["), kind, F.lit("-"), tag, F.lit("]")))
+def placeholder(kind: str, value: Column, key: str) -> Column:
+    if kind in ("PHONE", "ID_NUMBER"):
+        return F.concat(F.lit(f"[{kind} "), permute_in_format(value, key), F.lit("]"))
+    return F.concat(F.lit(f"[{kind}-"), F.upper(F.substring(keyed_hash(F.concat(F.lit(kind + "|"), F.lower(value)), key), 1, 16)), F.lit("]"))
 
 
-def redact(df: DataFrame, text: str, key: str, out: str = "redacted") -> DataFrame:
-    """Add ``out``: the text with every case replaced by its typed placeholder.
+def redact(df: DataFrame, text: str, key: str, out: str = "redacted", inverse_dates: bool = False) -> DataFrame:
+    """Add ``out``: the text with every case replaced by its typed placeholder and every date by another.
 
-    ``key`` keeps pseudonyms equal across documents. Longer values are replaced first, so a
-    value inside another never breaks it. Null texts stay null, others keep all else.
+    ``key`` keeps pseudonyms equal across documents. Only the found places change; a word that
+    contains a found value stays. Null texts stay null, others keep all else.
     """
-    df = find(df, text, "__pii")
-    spans = F.array_sort(F.array_distinct("__pii"), lambda a, b: F.length(b["value"]) - F.length(a["value"]))
-    body = F.aggregate(spans, F.col(text), lambda s, x: F.replace(s, x["value"], placeholder(x["kind"], x["value"], key)))
-    return df.withColumn(out, shift_dates(body, key)).drop("__pii")
+    df = _passes(df, text, whole=True)
+    df = df.withColumn("__left", shift_dates(F.col("__left"), key, inverse_dates))
+    for k, kind in enumerate(PASSES):
+        # A match ends with its value: what stands before it, such as a label or a title, stays.
+        df = df.withColumn("__left", F.when(F.size(f"__w{k}") > 0, _fill(F.col("__left"), MARKS[k], F.zip_with(f"__w{k}", f"__k{k}", _swapped(kind, key)))).otherwise(F.col("__left")))
+    df = df.withColumn("__left", F.when(F.size("__own") > 0, _fill(F.col("__left"), OWN, F.col("__own"))).otherwise(F.col("__left")))
+    return df.withColumn(out, F.col("__left")).drop("__left", "__own", *[f"__{x}{k}" for x in "kw" for k in range(len(PASSES))])
 
 
-def shift_dates(text: Column, key: str) -> Column:
-    """Dates M/D/YYYY and YYYY-MM-DD in the text permuted within their format."""
-    for pattern, order in ((r"(?<![\d/-])\d{1,2}/\d{1,2}/(?:19|20)\d{2}(?![\d/])", (3, 1, 2)), (r"(?<![\d/-])(?:19|20)\d{2}-\d{2}-\d{2}(?![\d-])", (1, 2, 3))):
-        text = _replace_each(text, pattern, _dated(order, key))
-    return text
+def _swapped(kind: str, key: str):
+    return lambda w, v: F.concat(F.substr(w, F.lit(1), F.length(w) - F.length(v)), placeholder(kind, v, key))
 
 
-def _dated(order: tuple[int, int, int], key: str):
-    return lambda v: _fresh_date(v, order, key)
+def _fill(text: Column, mark: str, values: Column) -> Column:
+    """Each mark of the text replaced by its value, in order."""
+    return let(F.struct(F.split(text, mark, -1).alias("s"), values.alias("v")), lambda x: F.concat(F.get(x["s"], F.lit(0)), F.array_join(F.zip_with(x["v"], F.slice(x["s"], 2, F.size(x["s"])), lambda a, b: F.concat(a, b)), "")))
 
 
-def _fresh_date(v: Column, order: tuple[int, int, int], key: str) -> Column:
-    parts = F.split(v, "[/-]")
-    y, m, d = (F.get(parts, F.lit(i - 1)).cast("int") for i in order)
-    new = F.date_from_unix_date(permute_date(days_from_civil(y, m, d), key))
-    shape = F.date_format(new, "yyyy-MM-dd" if order[0] == 1 else "MM/dd/yyyy")
-    return F.when(valid_civil(y, m, d), shape).otherwise(v)
+_MONTHS = ["January", "February", "March", "April", "May", "June", "July", "August", "September", "October", "November", "December"]
+_MONTH = "Jan(?:uary)?|Feb(?:ruary)?|Mar(?:ch)?|Apr(?:il)?|May|June?|July?|Aug(?:ust)?|Sept?(?:ember)?|Oct(?:ober)?|Nov(?:ember)?|Dec(?:ember)?"
+_YEAR = r"(?:1[6-9]|2[01])\d{2}"
+# Groups of one notation each: year first, year last, day and month's name, month's name and day.
+_NOTATIONS = [
+    rf"({_YEAR})([-/.])(\d{{1,2}})(?:\2)(\d{{1,2}})",
+    rf"(\d{{1,2}})([-/.])(\d{{1,2}})(?:\2)({_YEAR}|(?<=\d\d[.]\d\d[.]|[/-])\d{{2}})",
+    rf"(\d{{1,2}})(?:st|nd|rd|th)?([-\s/.]{{1,3}}(?:of )?)((?i:{_MONTH}))([-\s/.,]{{1,3}})({_YEAR}|\d{{2}})",
+    rf"((?i:{_MONTH}))([.]?\s)(\d{{1,2}})(?:st|nd|rd|th)?(,?\s)({_YEAR})",
+]
+DATE = r"(?<![\p{L}\d./-])(?:" + "|".join([_NOTATIONS[0], _NOTATIONS[1].replace(r"\2", r"\6"), *_NOTATIONS[2:]]) + r")(?![\p{L}\d]|[/-]\d|\.\d)"
+
+
+def shift_dates(text: Column, key: str, inverse: bool = False) -> Column:
+    """Every date with a year permuted within its notation: order, separators, widths and the style of month names stay.
+
+    With slash or hyphen the month comes first where that gives a date, else the day; dotted, the day comes first. Two-digit
+    years lie in 1926-2025. Impossible dates and dates without a year stay.
+    """
+    return _replace_each(text, DATE, lambda v: _fresh_date(v, key, inverse))
+
+
+def _fresh_date(v: Column, key: str, inverse: bool) -> Column:
+    out = v
+    for i in reversed(range(4)):
+        out = F.when(v.rlike(f"^(?:{_NOTATIONS[i]})$"), _in_notation(v, i, key, inverse)).otherwise(out)
+    return out
+
+
+def _in_notation(v: Column, i: int, key: str, inverse: bool) -> Column:
+    g = lambda n: F.regexp_extract(v, f"^(?:{_NOTATIONS[i]})$", n)
+    whole = lambda x: x.try_cast("int")
+    if i < 2:
+        year, one, two = (g(1), g(3), g(4)) if i == 0 else (g(4), g(1), g(3))
+        m, d = whole(one), whole(two)
+        day_first = (F.lit(False) if i == 0 else (g(2) == ".") | (m > 12)) & (d <= 12)
+        parts = F.struct(year.alias("y"), F.when(day_first, d).otherwise(m).alias("m"), F.when(day_first, m).otherwise(d).alias("d"), day_first.alias("turned"), ((F.length(one) == 1) | (F.length(two) == 1)).alias("bare"))
+    else:
+        name, day = (g(3), g(1)) if i == 2 else (g(1), g(3))
+        m = F.array_position(F.array(*[F.lit(x[:3].lower()) for x in _MONTHS]), F.lower(F.substring(name, 1, 3))).cast("int")
+        parts = F.struct(g(5).alias("y"), m.alias("m"), whole(day).alias("d"), F.lit(False).alias("turned"), (F.length(day) == 1).alias("bare"), name.alias("name"))
+
+    def fresh(p: Column) -> Column:
+        day = days_from_civil(F.when(F.length(p["y"]) == 2, expand_year(p["y"])).otherwise(whole(p["y"])), p["m"], p["d"])
+        return F.when(valid_civil(F.when(F.length(p["y"]) == 2, expand_year(p["y"])).otherwise(whole(p["y"])), p["m"], p["d"]), let(F.struct(F.date_from_unix_date(permute_date(day, key, inverse)).alias("n"), p.alias("p")), shown)).otherwise(v)
+
+    def shown(x: Column) -> Column:
+        n, p = x["n"], x["p"]
+        pad = lambda c: F.when(p["bare"], c.cast("string")).otherwise(F.lpad(c.cast("string"), 2, "0"))
+        y, m, d = F.year(n), pad(F.month(n)), pad(F.dayofmonth(n))
+        y = F.when(F.length(p["y"]) == 2, F.lpad((y % 100).cast("string"), 2, "0")).otherwise(y.cast("string"))
+        if i < 2:
+            one, two = F.when(p["turned"], d).otherwise(m), F.when(p["turned"], m).otherwise(d)
+            return F.concat_ws("", y, g(2), one, g(2), two) if i == 0 else F.concat_ws("", one, g(2), two, g(2), y)
+        full = F.element_at(F.array(*map(F.lit, _MONTHS)), F.month(n))
+        name = F.when((F.length(p["name"]) > 3) & (F.lower(p["name"]) != "sept"), full).otherwise(F.substring(full, 1, 3))
+        name = F.when(p["name"] == F.upper(p["name"]), F.upper(name)).when(p["name"] == F.lower(p["name"]), F.lower(name)).otherwise(name)
+        end = F.when(v.rlike(r"\d(?:st|nd|rd|th)"), F.when(F.dayofmonth(n).isin(1, 21, 31), "st").when(F.dayofmonth(n).isin(2, 22), "nd").when(F.dayofmonth(n).isin(3, 23), "rd").otherwise("th")).otherwise("")
+        return F.concat_ws("", d, end, g(2), name, g(4), y) if i == 2 else F.concat_ws("", name, g(2), d, end, g(4), y)
+
+    return let(parts, fresh)
 
 
 def _replace_each(text: Column, pattern: str, f) -> Column:
     both = F.struct(F.split(text, pattern, -1).alias("s"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("m"))
-    swapped = let(
-        both, lambda x: F.concat(F.get(x["s"], F.lit(0)), F.array_join(F.zip_with(F.transform(x["m"], f), F.slice(x["s"], 2, F.greatest(F.size(x["m"]), F.lit(1))), lambda a, b: F.concat(a, b)), ""))
-    )
+    swapped = let(both, lambda x: F.concat(F.get(x["s"], F.lit(0)), F.array_join(F.zip_with(F.transform(x["m"], f), F.slice(x["s"], 2, F.size(x["s"])), lambda a, b: F.concat(a, b)), "")))
     return F.when(text.rlike(pattern), swapped).otherwise(text)
 
 

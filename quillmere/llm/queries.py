@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from ..session import cut_lineage
 from ..sources.tables import load
 from . import canonical, entities, mixing, pii, quality, scanned, tokens
@@ -21,8 +23,11 @@ def p3_found(spark, sf_dir):
 
 
 def p3_redacted(spark, sf_dir):
-    """The remarks with typed placeholders; the key is the setting quillmere.pii.key."""
-    key = spark.conf.get("quillmere.pii.key", "change-me")
+    """The remarks with typed placeholders. The key is the setting quillmere.pii.key; a session without one gets a random key, kept there."""
+    key = spark.conf.get("quillmere.pii.key", None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set("quillmere.pii.key", key)
     return pii.redact(_remarks(spark, sf_dir), "text", key).select("source_table", "row_id", "redacted")
 
 

@@ -1,3 +1,6 @@
+import hmac
+import re
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -80,6 +83,58 @@ def test_redacted_text_links_and_leaks_nothing(spark):
     assert tag in b and b.endswith(". awake")
 
 
+WORDS = ["Pt Lee slept", "Leeds lead", "Nurse Al", "Alpha", "ask RN Astara", "Astaras", "MRN 00538274", "x00538274y", "call 654-555-0136", "a.b@c.org", "at 12 Oak Street, Salem 12345", "\u0002", "\u0010 odd \u0007", "[NAME-1]", "F3-C3 sharp", "\n"]
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(WORDS), max_size=8), min_size=1, max_size=6))
+def test_only_found_places_change(spark, texts):
+    df = spark.createDataFrame([(i, ". ".join(t)) for i, t in enumerate(texts)], "i int, text string")
+    df = pii.find(pii.redact(df, "text", "key"), "text")
+    for r in df.collect():
+        # Each placeholder stands for one found value; with the values back, the text is whole again.
+        made = re.split(r"\[(?:(?:NAME|EMAIL|ADDRESS)-[0-9A-F]{16}|(?:PHONE|ID_NUMBER) [^\]]+)\]", r.redacted)
+        assert len(made) == len(r.pii) + 1
+        values, at = [x.value for x in r.pii], len(made[0])
+        assert r.text.startswith(made[0])
+        for piece in made[1:]:
+            gone = next(v for v in sorted(values, key=len, reverse=True) if r.text.startswith(v + piece, at))
+            values.remove(gone)
+            at += len(gone) + len(piece)
+        assert at == len(r.text) and not values
+
+
+@pytest.mark.parametrize("text", ["14/03/2022", "14.3.2022", "March 3, 2022", "3/4/2022", "03-MAR-2022", "4th of july 1776", "2021-03-04", "3/4/22", "04.05.21", "12/31/2031", "1 Sept 2019"])
+def test_dates_keep_their_notation(spark, text):
+    df = spark.createDataFrame([(f"seen {text}, again {text}.",)], "text string")
+    got = df.select(pii.shift_dates(F.col("text"), "k").alias("x")).first().x
+    a, b = re.fullmatch(r"seen (.*), again (.*)\.", got).groups()
+    assert a == b and a != text
+    bare = lambda x: re.sub(r"[A-Za-z]+", "A", re.sub(r"\d+", "9", x))
+    assert bare(re.sub("(?<=[0-9])(st|nd|rd|th)", "th", a)) == bare(re.sub("(?<=[0-9])(st|nd|rd|th)", "th", text))
+    if not re.search(r"(?<!\d)\d(?!\d)", text):
+        assert [len(x) for x in re.findall(r"\d+", a)] == [len(x) for x in re.findall(r"\d+", text)]
+
+
+def test_equal_dates_stay_equal_in_any_notation(spark):
+    df = spark.createDataFrame([("2022-03-14 14.03.2022 03/14/2022 14-MAR-2022 13/45/2022 3/14 ",)], "text string")
+    iso, dotted, slashed, named, *rest = df.select(pii.shift_dates(F.col("text"), "k").alias("x")).first().x.split()
+    y, m, d = iso.split("-")
+    assert dotted == f"{d}.{m}.{y}" and slashed == f"{m}/{d}/{y}" and named.startswith(d) and named.endswith(y) and rest == ["13/45/2022", "3/14"]
+
+
+def test_long_numbers_are_permuted_too(spark):
+    digits = "1234567890" * 7
+    df = spark.createDataFrame([(f"MRN {digits}",)], "text string")
+    r = pii.redact(df, "text", "key").select("redacted", pii.permute_digits(F.lit(digits), "key").alias("p")).withColumn("b", pii.permute_digits(F.col("p"), "key", True)).first()
+    assert r.b == digits and r.p != digits and r.redacted == f"MRN [ID_NUMBER {r.p}]"
+
+
+def test_keyed_hash_is_hmac(spark):
+    got = spark.range(1).select(pii.keyed_hash(F.lit("Größe"), "k" * 80).alias("a"), pii.keyed_hash(F.lit(""), "k").alias("b")).first()
+    assert got.a == hmac.new(b"k" * 80, "Größe".encode(), "sha256").hexdigest() and got.b == hmac.new(b"k", b"", "sha256").hexdigest()
+
+
 def test_dates_permute_within_the_century(spark):
     df = spark.range(-16071, -16071 + 400).select(F.col("id").cast("int").alias("d")).withColumn("p", pii.permute_date(F.col("d"), "k")).withColumn("b", pii.permute_date(F.col("p"), "k", True))
     rows = df.collect()
