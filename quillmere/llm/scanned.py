@@ -1,7 +1,10 @@
 """Problem 6: text of scanned pages repaired into continuous paragraphs.
 
-Three steps, each on all rows. Lines of page matter (headers, footers, page numbers) are
-recognised row by row after folding characters that scanners confuse. Words divided at line
+Three steps, each on all rows. Lines of page matter are removed where the text doesn't run on
+into them: a line's form (digits and confusable characters folded) that comes back, with
+neighbours it doesn't continue, stands at a page's edge. Word pairs inside the lines of the whole
+corpus tell whether a line continues its neighbours. Page numbers, continuation and print marks are known by
+their words as well. Words divided at line
 or page ends are joined; whether the hyphen stays is decided by the counts of both spellings
 in the whole corpus. Misread words are found with anagram hashes: the hash of a word is a sum
 over its characters, so replacing a confusable sequence changes it by a constant. A rare word
@@ -30,6 +33,9 @@ _FOLD_TO = "ffcuolgllls" + "aaaaa" + "ccc" + "ll" + "ooo" + "uuu" + "bg"
 RATIO = 5  # a word is corrected to one at least so many times as frequent
 
 
+_HYPHEN = r"[-\x{2010}\x{2011}\x{00AD}\x{00AC}]"
+
+
 def fold(text: Column) -> Column:
     return F.translate(F.lower(text), _FOLD_FROM, _FOLD_TO)
 
@@ -45,26 +51,66 @@ def lines_of(text: Column) -> Column:
     return F.transform(F.split(text, r"\r\n|\n|\r|\f|\x{2028}|\x{2029}", -1), lambda x: F.btrim(x, F.lit(_SPACE)))
 
 
-def is_page_line(line: Column) -> Column:
-    """Page numbers, continuation marks, print and fax stamps, running titles."""
-    return let(F.struct(line.alias("t"), fold(line).alias("f")), lambda x: _page_matter(x["t"], x["f"]))
+def is_numbered(line: Column) -> Column:
+    """Page numbers, continuation marks, print and fax stamps: known by their words wherever they stand."""
+    return let(F.struct(line.alias("t"), fold(line).alias("f")), lambda x: _numbered(x["t"], x["f"]))
 
 
-def _page_matter(line: Column, f: Column) -> Column:
+def _numbered(line: Column, f: Column) -> Column:
     n = r"[0-9olgsbz]{1,4}"  # digits, also folded ones
     page, pg, of = _folded("page"), _folded("pg"), _folded("of")
     number = rf"^[\W_]*(?:{page}|{pg}|{_folded('p')})?[.:]?\s*{n}(?:\s*(?:/|{of}|o.|.f)\s*{n})?[\W_]*$"
     marks = rf"^[\W_]*(?:{_folded('continued')}|{_folded('cont')}\.?)(?: (?:on|from) {_folded('next')}.*| on .*{page}.*)?[\W_]*$"
-    stamps = rf"^(?:{_folded('printed')} .*\d|{_folded('fax')}: ?.*\d|.*{_folded('confidential')}[\W_]*$|.*{page}: ?{n}$|{_folded('technologist scan report')}.*)"
-    # A running title: two words or more, each with a capital, a digit or a sign in front, no sentence end.
-    title = r"^(?:(?:[\p{Lu}\d][\p{L}\d'’!|/-]*[.:,]?|[&|/–—-]|p\.|of|and|the)(?:\s+|$)){2,14}$"
+    stamps = rf"^(?:{_folded('printed')} .*\d|{_folded('fax')}: ?.*\d|.*{page}: ?{n})$"
     has_digit = line.rlike(r"\d|^[\W_]*[lIO][\W_]*$")
-    titled = (F.length(line) <= 160) & line.rlike(r"^(?:\p{Lu}|\d)") & line.rlike(title) & ~line.rlike(r"[.?!]$") & line.rlike(r"\p{Lu}\S*\p{L}.*\s") & ~line.rlike(r"\p{Ll}{2}[.,]\s")
-    short = F.length(line) <= 200  # a line of page matter is no paragraph
-    return (line != "") & short & ((has_digit & f.rlike(number)) | f.rlike(marks) | f.rlike(stamps) | titled)
+    return (line != "") & ((has_digit & f.rlike(number)) | f.rlike(marks) | f.rlike(stamps))
+
+
+LEAST_TIMES, LEAST_BREAKS = 3, 0.6  # times a form must come back; share of its telling places where the text doesn't run on
+
+
+def _form(line: Column) -> Column:
+    """A line without what differs from page to page (numbers, case, misread characters); null for lines that are text by a sentence end or a divided word."""
+    text = line.rlike(r"[.!?:;,][\W_]*$|[.!?] +\p{L}|" + _HYPHEN + r"\s*$") | ~line.rlike(r"\p{L}\P{L}{0,3}\p{L}")
+    return F.when(~text, fold(F.regexp_replace(F.regexp_replace(line, r"(?<![\p{L}\d])\d+(?![\p{L}\d])", "#"), r"[^\p{L}\p{N}#!|]+", " ")))
+
+
+def _page_forms(lines: DataFrame) -> DataFrame:
+    """(form) of the lines that come back at page edges, from ``id``, ``ls`` (array of struct(t, numbered, form)).
+
+    Lines with a sentence end or a divided word in them are text. At a place the text runs on from the line before or into the
+    next if a line of the corpus holds the pair of words there, or if the pair comes back over the same line break (fixed
+    paragraphs); it breaks off if not. At the beginning and the end of a text, after a hyphen and after a sentence end nothing can be
+    told. A form is page matter if the text runs on at few of its places and breaks off on both sides at two or more.
+    """
+    word = lambda line, last: F.lower(F.regexp_extract(line, r"([\p{L}\p{N}]+)[^\p{L}\p{N}]*$" if last else r"^[^\p{L}\p{N}]*([\p{L}\p{N}]+)", 1))
+    kept = lines.select("id", F.filter("ls", lambda x: ~x["numbered"]).alias("k"))
+    at = kept.select(F.posexplode("k").alias("i", "x"), "k").filter("x.form is not null").select("x.form", "x.t", F.get("k.t", F.col("i") - 1).alias("before"), F.get("k.t", F.col("i") + 1).alias("after"))
+    back = at.groupBy("form").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_TIMES)
+    at = cut_lineage(
+        at.join(back, "form").withColumn("place", F.monotonically_increasing_id()).select(
+            "form",
+            "n",
+            "place",
+            F.explode(
+                F.array(
+                    F.struct(F.col("before").isNull().alias("edge"), F.col("before").rlike(_HYPHEN + r"\s*$|[.!?][\W_]*$").alias("open"), F.xxhash64(word(F.col("before"), True), word(F.col("t"), False)).alias("pair")),
+                    F.struct(F.col("after").isNull().alias("edge"), F.lit(False).alias("open"), F.xxhash64(word(F.col("t"), True), word(F.col("after"), False)).alias("pair")),
+                )
+            ).alias("s"),
+        ).select("form", "n", "place", "s.*")
+    )
+    words = lambda x: F.filter(F.split(F.lower(x["t"]), r"[^\p{L}\p{N}]+"), lambda w: w != "")
+    pairs = lambda w: F.zip_with(F.slice(w, F.lit(1), F.greatest(F.size(w) - 1, F.lit(0))), F.slice(w, F.lit(2), F.greatest(F.size(w) - 1, F.lit(0))), lambda a, b: F.xxhash64(a, b))
+    inside = lines.select(F.explode(F.array_distinct(F.flatten(F.transform("ls", lambda x: let(words(x), pairs))))).alias("pair")).distinct()
+    across = at.filter("not edge").groupBy("form", "pair").agg(F.count("*").alias("m"), F.first("n").alias("n")).filter((F.col("m") >= LEAST_TIMES) & (F.col("m") > 0.2 * F.col("n"))).select("pair")
+    runs = at.select("pair").distinct().join(inside, "pair", "left_semi").unionByName(across).distinct().withColumn("runs", F.lit(True))
+    sides = at.join(runs, "pair", "left").withColumn("broken", F.when(~F.col("edge") & ~F.col("open"), F.col("runs").isNull()))
+    places = sides.groupBy("form", "place").agg(F.count_if("broken").alias("broken"), F.count_if(~F.col("broken")).alias("runs"))
+    share = F.avg(F.when(F.col("runs") + F.col("broken") > 0, (F.col("runs") == 0).cast("int"))).alias("share")
+    return places.groupBy("form").agg(share, F.count_if(F.col("broken") == 2).alias("both")).filter(f"share >= {LEAST_BREAKS} and both >= 2").select("form")
 
 
-_HYPHEN = r"[-\x{2010}\x{2011}\x{00AD}\x{00AC}]"
 SPLIT = rf"(?<!\S)(\S*[\p{{L}}\d]){_HYPHEN} *\n([\p{{L}}\d!|][^\s\n]*)"
 
 
@@ -73,22 +119,32 @@ def _trim(token: Column) -> Column:
     return F.regexp_replace(token, r"^[^\p{L}\p{N}]*?(?=[!|]\p{Ll}|[\p{L}\p{N}]|$)|(?<=[\p{L}\p{N}])[^\p{L}\p{N}]+$", "")
 
 
+TOKEN = r"(?:[!|](?=\p{Ll}))?[\p{L}\p{N}](?:\S*[\p{L}\p{N}])?"  # a word without the punctuation around
+
+
 def body(df: DataFrame, text: str) -> DataFrame:
-    """Add ``page_lines`` and ``body`` (the other lines, by newline, hyphens at ends intact).
+    """Add ``page_lines`` and ``body`` (the other lines, by newline, hyphens at ends intact) to the rows.
 
-    Every line is judged once: the flag travels with it through both lists.
+    Repeated rows count each; rows are told apart by their place in the input alone.
     """
-    judged = F.transform(F.filter(lines_of(F.col(text)), lambda x: x != ""), lambda x: F.struct(x.alias("t"), is_page_line(x).alias("p")))
-    both = let(judged, lambda a: F.struct(F.transform(F.filter(a, lambda x: x["p"]), lambda x: x["t"]).alias("page_lines"), F.array_join(F.transform(F.filter(a, lambda x: ~x["p"]), lambda x: x["t"]), "\n").alias("body")))
+    judged = F.transform(F.filter(lines_of(F.col(text)), lambda x: x != ""), lambda x: let(F.struct(x.alias("t"), is_numbered(x).alias("n")), lambda y: F.struct(y["t"].alias("t"), y["n"].alias("numbered"), F.when(~y["n"], _form(y["t"])).alias("form"))))
+    lines = cut_lineage(df.withColumn("ls", judged).drop(text)).withColumn("id", F.monotonically_increasing_id())
+    forms = cut_lineage(_page_forms(lines))
+    # A row's own page forms, as many as its lines, come back to it.
+    own = lines.select("id", F.explode(F.array_compact(F.array_distinct("ls.form"))).alias("form")).join(forms, "form").groupBy("id").agg(F.collect_set("form").alias("forms"))
+    df = lines.join(own, "id", "left")
+    flagged = F.when(F.col("forms").isNull(), F.transform("ls", lambda x: F.struct(x["t"].alias("t"), x["numbered"].alias("p")))).otherwise(
+        F.transform("ls", lambda x: F.struct(x["t"].alias("t"), (x["numbered"] | F.coalesce(F.array_contains("forms", x["form"]), F.lit(False))).alias("p")))
+    )
+    both = let(flagged, lambda a: F.struct(F.transform(F.filter(a, lambda x: x["p"]), lambda x: x["t"]).alias("page_lines"), F.array_join(F.transform(F.filter(a, lambda x: ~x["p"]), lambda x: x["t"]), "\n").alias("body")))
     df = df.withColumn("__both", both)
-    return df.withColumns({"page_lines": F.col("__both.page_lines"), "body": F.col("__both.body")}).drop("__both")
+    return df.withColumns({"page_lines": F.col("__both.page_lines"), "body": F.col("__both.body")}).drop("__both", "ls", "forms", "id")
 
 
 def words(rows: DataFrame) -> DataFrame:
     """(keys, token) of the whole words of ``body``: those at divided line ends are left out."""
     whole = F.regexp_replace("body", SPLIT, " ")
-    tokens = F.filter(F.transform(F.split(whole, r"\s+"), _trim), lambda x: x != "")
-    return rows.select("source_table", "row_id", F.explode(tokens).alias("token"))
+    return rows.select("source_table", "row_id", F.explode(F.regexp_extract_all(whole, F.lit(TOKEN), F.lit(0))).alias("token"))
 
 
 def anagram_hash(token: Column) -> Column:
@@ -112,7 +168,9 @@ def corrections(lexicon: DataFrame) -> DataFrame:
     confusions win, then the most frequent word, then the first in order.
     """
     table = F.array(*[F.struct(F.lit(a).alias("a"), F.lit(_hash_of(b) - _hash_of(a)).cast("bigint").alias("d"), F.lit(max(len(a), len(b))).alias("c")) for a, b in CONFUSIONS])
-    w = lexicon.filter((F.length("token") >= 2) & F.col("token").rlike(r"[\p{L}\d]"))
+    # Only words that some other is RATIO times as frequent as can be wrong.
+    most = lexicon.agg(F.max("n").alias("most"))
+    w = lexicon.filter((F.length("token") >= 2) & F.col("token").rlike(r"[\p{L}\d]")).join(F.broadcast(most)).filter(F.col("n") * RATIO <= F.col("most")).drop("most")
     w = w.withColumn("fit", F.filter(table, lambda x: F.contains(F.col("token"), x["a"])))
     single = F.transform("fit", lambda x: F.struct(x["d"].alias("d"), x["c"].alias("c"), F.lit(1).alias("k")))
     double = F.flatten(F.transform("fit", lambda x: F.transform("fit", lambda y: F.struct((x["d"] + y["d"]).alias("d"), (x["c"] + y["c"]).alias("c"), F.lit(2).alias("k")))))
@@ -136,7 +194,7 @@ def repaired(rows: DataFrame) -> dict[str, DataFrame]:
     the corpus counts. Texts are read whole.
     """
     rows = cut_lineage(body(rows.select("source_table", "row_id", "text").filter("text is not null"), "text"))
-    tokens = cut_lineage(words(rows))
+    tokens = words(rows)
     lexicon = cut_lineage(tokens.groupBy("token").agg(F.count("*").alias("n")))
     pieces = rows.select("source_table", "row_id", F.regexp_extract_all("body", F.lit(SPLIT), F.lit(1)).alias("a"), F.regexp_extract_all("body", F.lit(SPLIT), F.lit(2)).alias("b"))
     pieces = pieces.select("source_table", "row_id", F.explode(F.arrays_zip("a", "b")).alias("p")).select("source_table", "row_id", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
