@@ -45,7 +45,8 @@ _STEPS = [
     ("[\\u00ae\\u2122\\u00a9]", ""),
     ("\\\\[[^\\\\]]*\\\\]", " "),
     ("^\\\\s*(?:[*\\u2022+>-]+|\\\\(?\\\\d{1,2}[.)])\\\\s+", ""),
-    (f"^\\\\s*(?:(?:{_LEADS})\\\\s+){{1,6}}", ""),
+    # Each match begins where the one before ended, so any number of leading words goes.
+    (f"\\\\G\\\\s*(?:{_LEADS})\\\\s+", ""),
     (f"(?<![a-z0-9])\\\\d[\\\\d,.]*\\\\s*(?:{_UNITS})(?![a-z])", " "),
     (f"(?<![a-z0-9])(?:{_OFTEN})(?![a-z0-9])", " "),
     (f"(?<=[a-z.)] ?)(?:[\\\\s,-]+)(?:{_FORMS})(?![a-z])", " "),
@@ -169,13 +170,16 @@ def match_terms(values: DataFrame, terms: DataFrame) -> DataFrame:
         t=refs,
     )
     begun = sql("select o.kind, value, term_id, 2 as tier, rank as cost, o.c, ref from $o o join $b b on o.kind = b.kind and o.c = b.b", o=open_, b=beginnings)
+    # Phrases of as many words as some entry of the kind has, whatever that number is.
     phrases = sql(
         """
-        select distinct kind, value, rank, array_join(slice(w, a, m), ' ') as c from (
-          select kind, value, rank, w, a, explode(sequence(1, least(6, size(w) - a + 1))) as m from (
-            select kind, value, rank, split(c, ' ') as w, explode(sequence(1, size(split(c, ' ')))) as a from $o))
+        select kind, value, rank, explode(array_distinct(transform(sequence(1, size(w) - m + 1), a -> array_join(slice(w, a, m), ' ')))) as c
+        from (select o.kind, o.value, o.rank, split(o.c, ' ') as w, l.m from $o o
+              join (select distinct kind, size(split(ref, ' ')) as m from $t where n >= 5) l on o.kind = l.kind)
+        where size(w) >= m
         """,
         o=open_,
+        t=refs,
     )
     inside = sql("select p.kind, value, term_id, 3 as tier, 100 - n + rank as cost, p.c, ref from $p p join $t t on p.kind = t.kind and p.c = t.ref where n >= 5", p=phrases, t=refs)
     best = sql(

@@ -22,6 +22,15 @@ def test_values(spark):
     assert run(spark, VALUES) == {i: t for i, (_, _, t) in enumerate(VALUES) if t is not None}
 
 
+def test_names_of_any_number_of_words(spark):
+    """The longest name inside a value counts, and any number of leading words goes."""
+    six, seven = "acute left upper lobe lung nodule", "acute left upper lobe lung nodule biopsy"
+    nine = "late effect of mild injury to the lower leg"
+    terms = [(1, "c", six, None), (2, "c", seven, None), (3, "c", nine, None)]
+    values = [("c", f"seen in clinic: {seven} planned"), ("c", f"seen in clinic: {six} planned"), ("c", f"chart says {nine} beyond doubt"), ("c", "h/o known probable suspected possible h/o known hx of " + six), ("c", "word " * 3000 + nine)]
+    assert run(spark, values, terms) == {0: 2, 1: 1, 2: 3, 3: 1, 4: 3}
+
+
 def test_empty_tables(spark):
     assert run(spark, VALUES[:2], [(1, "z", "other", None)]) == {0: -1, 1: -1}
     v = spark.createDataFrame([], "source_table string, row_id bigint, kind string, value string")
