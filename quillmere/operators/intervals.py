@@ -119,7 +119,8 @@ def merge_intervals(df: DataFrame, entity: str, start: str, end: str) -> DataFra
     """
     d = df.select(F.col(entity).alias("entity"), F.col(start).cast("bigint").alias("start"), F.col(end).cast("bigint").alias("end")).filter("end > start")
     kind = d.schema["entity"].dataType.simpleString()
-    ranged = d.repartitionByRange("entity", "start").sortWithinPartitions("entity", "start").withColumn("pid", F.spark_partition_id())
+    # The range sort reads its input twice, once for a sample: what leads to the bounds is computed before.
+    ranged = cut_lineage(d).repartitionByRange("entity", "start").sortWithinPartitions("entity", "start").withColumn("pid", F.spark_partition_id())
     ranged = cut_lineage(ranged)
     rows = ranged.mapInPandas(_summaries, f"pid int, first {kind}, single boolean, entity {kind}, top bigint, opened bigint").collect()
     pieces = ranged.mapInPandas(_scanner(combine(rows)), f"entity {kind}, kind string, start bigint, end bigint")
