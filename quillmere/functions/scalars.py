@@ -28,6 +28,11 @@ def megabytes(size: Column) -> Column:
     return F.round(size / (1024 * 1024), 2)
 
 
+def gigabytes(size: Column, binary: bool = False) -> Column:
+    """Decimal gigabytes, or with ``binary`` multiples of 1024."""
+    return F.round(size / (1024**3 if binary else 10**9), 2)
+
+
 def hours(seconds: Column) -> Column:
     return F.round(seconds / 3600, 2)
 

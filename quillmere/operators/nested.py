@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import warnings
 from collections.abc import Callable
 
 import pandas as pd
@@ -37,6 +38,8 @@ def fan_out(records: DataFrame, tables: dict[str, tuple[str, list[Column]]]) ->
 def whitelist(df: DataFrame, crosswalk: DataFrame, key: str, keep: list[str]) -> DataFrame:
     """Only listed columns, the key replaced by the crosswalk's id; rows without an id go."""
     have = [c for c in keep if c in df.columns]
+    if len(have) < len(keep):
+        warnings.warn(f"absent columns: {sorted(set(keep) - set(have))}", stacklevel=2)
     return df.join(crosswalk.select(key, "person_id"), key).select("person_id", *have)
 
 

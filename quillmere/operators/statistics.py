@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .ordered import prefix, spread
+
 
 def value_counts(df: DataFrame, *columns: str) -> DataFrame:
     """Counts of the non-null values of the columns."""
@@ -21,10 +23,25 @@ def shares(df: DataFrame, column: str) -> DataFrame:
 
 
 def quartiles(df: DataFrame, column: str, by: list[str] | None = None, places: int = 4) -> DataFrame:
-    """Exact quartiles with linear interpolation."""
-    q = F.expr(f"percentile({column}, array(0.25, 0.5, 0.75))")
-    g = df.groupBy(*(by or [])).agg(F.count(column).alias("n"), q.alias("q"))
-    return g.select(*(by or []), "n", *[F.round(F.get("q", F.lit(i)), places).alias(name) for i, name in enumerate(("q1", "median", "q3"))])
+    """Exact quartiles with linear interpolation.
+
+    Values are counted first, then spread by group and value; what lies before a value comes from
+    per-partition offsets, so no group's values meet in one task or one map. Null values take no part in the
+    quartiles, but their groups come out.
+    """
+    by = by or []
+    keys = by or ["__all"]
+    d = df.select(*by, F.col(column).alias("__x")) if by else df.select(F.lit(0).alias("__all"), F.col(column).alias("__x"))
+    c = spread(d.filter("__x is not null").groupBy(*keys, "__x").agg(F.count("*").alias("__c")), keys, ["__x"])
+    c = prefix(c, keys, ["__x"], F.col("__c"), "__lo")
+    n = d.groupBy(*keys).agg(F.count("__x").alias("n")) if by else d.agg(F.count("__x").alias("n")).withColumn("__all", F.lit(0))
+    names, places_at = ("q1", "median", "q3"), (0.25, 0.5, 0.75)
+    j = n.alias("n").join(c.alias("c"), [F.col(f"n.{k}").eqNullSafe(F.col(f"c.{k}")) for k in keys], "left")
+    value = lambda rank: F.max(F.when((F.col("__lo") <= rank) & (rank < F.col("__lo") + F.col("__c")), F.col("__x").cast("double")))
+    at = lambda q: (F.col("n") - 1) * F.lit(q)
+    g = j.groupBy(*[F.col(f"n.{k}").alias(k) for k in keys], "n.n").agg(*[value(f(at(q))).alias(f"__{x}{e}") for x, q in zip(names, places_at) for e, f in (("l", F.floor), ("h", F.ceil))])
+    line = lambda x, q: F.round(F.col(f"__{x}l") + (F.col(f"__{x}h") - F.col(f"__{x}l")) * (at(q) - F.floor(at(q))), places).alias(x)
+    return g.select(*by, "n", *[line(x, q) for x, q in zip(names, places_at)])
 
 
 def nearest_rank_quartiles(df: DataFrame, column: str) -> DataFrame:
@@ -90,3 +107,30 @@ def dense_hours(df: DataFrame, hour: str, flag: Column) -> DataFrame:
     """24 rows: how often each hour occurs and how often with the flag, zeros included."""
     counted = df.groupBy(F.col(hour).cast("int").alias("hour")).agg(F.count("*").alias("n_logged"), F.sum(flag.cast("int")).alias("n_flagged"))
     return df.sparkSession.range(24).select(F.col("id").cast("int").alias("hour")).join(counted, "hour", "left").na.fill(0, ["n_logged", "n_flagged"])
+
+
+def coverage(whole: DataFrame, key: str, parts: dict[str, DataFrame]) -> DataFrame:
+    """(part, n, percent): distinct keys of each part against those of the whole, in whole per cent of 100 at most."""
+    ids = lambda d: d.filter(F.col(key).isNotNull()).agg(F.count_distinct(key).alias("n"))
+    n = reduce(DataFrame.unionByName, [ids(d).select(F.lit(name).alias("part"), "n") for name, d in parts.items()])
+    total = ids(whole).select(F.greatest("n", F.lit(1)).alias("total"))
+    return n.join(F.broadcast(total)).select("part", "n", F.least(F.lit(100), F.bround(100.0 * F.col("n") / F.col("total"))).cast("int").alias("percent"))
+
+
+def running_counters(increments: DataFrame, order: str, kind: str, amount: str) -> DataFrame:
+    """Add ``total``: the amount of this kind so far; increments may come from several workers."""
+    d = prefix(spread(increments, [kind], [order]), [kind], [order], F.col(amount), "total", own=True)
+    return d.withColumn("total", F.col("total").cast("bigint")).drop("__part")
+
+
+def remaining_time(done: Column, total: Column, elapsed: Column) -> dict[str, Column]:
+    """Average rate since the start and the seconds left at that rate; null before anything is done."""
+    rate = F.when((elapsed > 0) & (done > 0), done / elapsed)
+    return {"rate": F.round(rate, 4), "eta_sec": F.round((total - done) / rate, 4)}
+
+
+def decimated(history: DataFrame, order: str, most: int = 500) -> DataFrame:
+    """Every second point, from the first on, of a history with more than ``most``; shorter ones stay whole."""
+    n = history.agg(F.count("*").alias("__n"))
+    d = prefix(spread(history.withColumn("__g", F.lit(0)), ["__g"], [order]), ["__g"], [order], F.lit(1), "__i")
+    return d.join(F.broadcast(n)).filter((F.col("__n") <= most) | (F.col("__i") % 2 == 0)).drop("__g", "__i", "__n", "__part")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import functions as F
@@ -11,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import scalars
 from ..operators import changes, statistics
 from ..session import ensure_checkpoint_dir
+from ..sources import files
 from ..streaming import watch
 from .registry import Registry
 
@@ -118,9 +118,10 @@ def group_summary(t):
 @R.query("""select folder_name, kind, count(*) as n from (select folder_name, lower(regexp_extract(edf_filename, '(\\.[^.]+)$', 1)) as kind from recordings where edf_filename is not null) group by 1, 2""")
 def type_histogram_map(t):
     """Files per extension as a map per folder, exploded again."""
-    c = t.recordings.filter("edf_filename is not null").groupBy("folder_name", F.lower(F.regexp_extract("edf_filename", r"(\.[^.]+)$", 1)).alias("kind")).agg(F.count("*").alias("n"))
-    m = c.groupBy("folder_name").agg(F.map_from_entries(F.collect_list(F.struct("kind", "n"))).alias("kinds"))
-    return m.select("folder_name", F.explode("kinds").alias("kind", "n"))
+    d = t.recordings.filter("edf_filename is not null")
+    kind = F.lower(F.regexp_extract("edf_filename", r"(\.[^.]+)$", 1))
+    inventory = files.folder_inventory(d.select(F.coalesce("folder_name", F.lit("\u0000")).alias("folder"), kind.alias("extension"), (F.col("edf_size_mb") * 1048576).alias("size")), [".edf"])
+    return inventory.select(F.nullif("folder", F.lit("\u0000")).alias("folder_name"), F.explode("kinds").alias("kind", "n"))
 
 
 @R.query("""select primary_sample_rate, count(*) as n from recordings where primary_sample_rate is not null group by 1 order by 2 desc, 1 limit 1""")
@@ -167,8 +168,7 @@ def tumbling_counts(t):
 @R.query("select event_type, count(*) as n from events group by 1")
 def watch_ingest(t):
     """The events as a file stream that is drained once, batch by batch; equals the batch result."""
-    base = ensure_checkpoint_dir(t.spark) if not t.spark.sparkContext.master.startswith("local[") else tempfile.gettempdir()
-    home = os.path.join(base, "watch-" + uuid.uuid4().hex)
+    home = os.path.join(ensure_checkpoint_dir(t.spark), "watch-" + uuid.uuid4().hex)
     source = t.events
     q = watch.watch(t.spark, f"{t.folder}/events*", source.schema, lambda b: b.groupBy("event_type").agg(F.count("*").alias("n")), f"{home}/out", f"{home}/check")
     q.awaitTermination()

@@ -163,9 +163,14 @@ def scrub_numbers(t):
     return t.annotations.filter("text is not null").select("annotation_id", c.alias("masked"))
 
 
-@R.query()
+# SQL patterns have no look-around: the character beside a match is matched and put back, twice, as neighbours may share one.
+_PHONE_SQL = r"(^|[^A-Za-z0-9_])(?:\+?1[-.\s]?)?\(?\d{3}\)?[-.\s]\d{3}[-.\s]\d{4}\b"
+
+
+@R.query(rf"""select annotation_id, regexp_replace(regexp_replace(regexp_replace(text, '{_PHONE_SQL}', '\1[PHONE]', 'g'), '{_PHONE_SQL}', '\1[PHONE]', 'g'),
+             '(?i)\b\d{{1,5}}\s+[A-Z][a-zA-Z]+(?:\s+[A-Z][a-zA-Z]+){{0,3}}\s+(?:St|Ave|Blvd|Dr|Rd|Ln|Ct|Way|Pl|Cir|Pkwy)\b[.]?', '[ADDRESS]', 'g') as masked from annotations where text is not null""")
 def scrub_contacts(t):
-    """Phones and street addresses masked (patterns with look-around: no oracle)."""
+    """Phones and street addresses masked."""
     return t.annotations.filter("text is not null").select("annotation_id", tx.scrub_contacts(F.col("text")).alias("masked"))
 
 
@@ -203,7 +208,12 @@ def scrub_names_text(t):
     return a.join(hits, "annotation_id", "left").select("annotation_id", tx.scrub_any(F.col("text"), F.coalesce("names", F.array().cast("array<string>"))).alias("scrubbed"))
 
 
-@R.query()
+_OWN_SQL = r"regexp_replace(regexp_replace({0}, '(?i)(^|[^\pL\pN_])' || regexp_escape({1}) || '($|[^\pL\pN_])', '\1[NAME]\2', 'g'), '(?i)(^|[^\pL\pN_])' || regexp_escape({1}) || '($|[^\pL\pN_])', '\1[NAME]\2', 'g')"
+
+
+@R.query(rf"""with own as (select folder_name, min(last_name) as a, min(first_name) as b from recordings where last_name <> '' group by 1), d as (select annotation_id, text, a, b from annotations left join own using (folder_name) where text is not null),
+             one as (select annotation_id, text, a, b, case when length(a) >= 2 and contains(lower(text), lower(a)) then {_OWN_SQL.format('text', 'a')} else text end as s from d)
+             select annotation_id, case when a is null then text when length(b) >= 2 and contains(lower(s), lower(b)) then {_OWN_SQL.format('s', 'b')} else s end as scrubbed from one""")
 def scrub_own_names(t):
     """The folder's own names in its annotations; each folder brings its words once."""
     own = t.recordings.filter("last_name <> ''").groupBy("folder_name").agg(F.min("last_name").alias("a"), F.min("first_name").alias("b"))
@@ -276,9 +286,15 @@ def extraction_input(t):
     return t.documents.filter("text is not null").select("doc_id", F.substring(c, 1, _INPUT_CHARS).alias("head"), (F.length(c) > _INPUT_CHARS).alias("was_cut"), F.length(c).cast("bigint").alias("n_chars"))
 
 
-@R.query()
+_ENDS_SQL = tx.FINDING_ENDS.removeprefix(r"(?i)(?:^|\s)")
+_YEAR_SQL = r"(^|[^A-Za-z0-9_.])(?:19|20)\d{2}($|[^A-Za-z0-9_.])"
+
+
+@R.query(rf"""with c as (select epileptiform_row_id, trim(case when regexp_matches(raw_description, '(?i)^\s?{_ENDS_SQL}') or not regexp_matches(raw_description, '(?is)^.+?\s{_ENDS_SQL}') then raw_description
+                       else regexp_extract(raw_description, '(?is)^(.+?)\s{_ENDS_SQL}', 1) end, ' ') as x from eeg_epileptiform), k as (select epileptiform_row_id, rtrim(left(x, 3000), case when length(x) > 3000 then ' ' else '' end) as x from c)
+             select epileptiform_row_id, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(x, '{_YEAR_SQL}', '\1\2', 'g'), '{_YEAR_SQL}', '\1\2', 'g'), '[~"“”]', '', 'g'), '\s+', ' ', 'g'), ' -–—.,;') as finding from k""")
 def clean_findings(t):
-    """Findings cut at the next heading and lone years removed (look-around: no oracle)."""
+    """Findings cut at the next heading and lone years removed."""
     c = tx.strip_years(tx.truncate_at(F.col("raw_description")))
     return t.eeg_epileptiform.select("epileptiform_row_id", c.alias("finding"))
 
@@ -291,7 +307,8 @@ def kv_line_fields(t):
     return lines.select("doc_id", F.trim(F.regexp_extract("line", p, 1)).alias("field"), F.trim(F.regexp_extract("line", p, 2)).alias("value"))
 
 
-@R.query()
+@R.query(r"""select concat_ws('/', folder_name, source_file, cast(annotation_id as varchar)) as file, cast(3 as integer) as line_no, round(onset_sec, 3) as onset_sec, cast(0 as double) as duration_sec,
+             trim(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g'), ' '), '"') as text from annotations where onset_sec is not null""")
 def comment_sections(t):
     """[Comments] rows of small sectioned files, one rebuilt from each annotation, parsed again."""
     a = t.annotations.filter("onset_sec is not null").select(F.concat_ws("/", "folder_name", "source_file", F.col("annotation_id").cast("string")).alias("file"), "onset_sec", F.regexp_replace(F.coalesce("text", F.lit("")), "\\s+", " ").alias("x"))
@@ -323,14 +340,15 @@ def ocr_trigger(t):
     return t.documents.filter("text is not null").select("doc_id", ((mean < 50) | (F.size(F.filter(a, lambda x: F.length(x) < 20)) > 0.5 * F.size(a))).alias("needs_ocr"))
 
 
-@R.query()
+@R.query(r"""with m as (select study_row_id, regexp_replace(study_id, '[0-9]{4,}', '#', 'g') as s, eeg_start_date as e, regexp_replace(tech_comments, '[0-9]{4,}', '#', 'g') as c, regexp_replace(source_pdf, '[0-9]{4,}', '#', 'g') as f, regexp_replace(scanning_technologist, '[0-9]{4,}', '#', 'g') as g from studies)
+             select study_row_id, '{' || concat_ws(',', '"study_id":' || to_json(s), '"visit":{' || concat_ws(',', '"eeg_start_date":' || to_json(e), '"tech_comments":' || to_json(c)) || '}', '"files":[' || coalesce(to_json(f), 'null') || ',' || coalesce(to_json(g), 'null') || ']') || '}' as packet from m""")
 def nested_scrub(t):
     """Numbers masked in every text leaf of packets, dates kept by name."""
     d = t.studies.select("study_row_id", F.struct("study_id", F.struct("eeg_start_date", "tech_comments").alias("visit"), F.array("source_pdf", "scanning_technologist").alias("files")).alias("packet"))
     return nested.scrub_leaves(d, "packet", lambda c: F.regexp_replace(c, "[0-9]{4,}", "#"), ["eeg_start_date"]).select("study_row_id", F.to_json("packet").alias("packet"))
 
 
-@R.query()
+@R.query("""select event_id, coalesce(json_valid(props), false) as parsed, case when json_valid(props) then 'a' end as note from events""")
 def json_repair(t):
     """Cut-off JSON completed: every event's properties, cut after a few characters, parse again."""
     d = t.events.select("event_id", F.concat(F.lit('{"items": ['), F.col("props"), F.lit(', {"note": "a')).alias("raw"))

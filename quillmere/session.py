@@ -5,25 +5,27 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "quillmere", cores: str | int = "*", **conf: str) -> SparkSession:
-    """A local session with the settings the plans assume (UTC, AQE, ANSI)."""
-    b = (
-        SparkSession.builder.master(f"local[{cores}]")
-        .appName(app)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.shuffle.partitions", "8")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", "8g")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    for key, value in conf.items():
-        b = b.config(key.replace("__", "."), value)
-    spark = b.getOrCreate()
+    """A session with the settings the plans assume (UTC, AQE).
+
+    What the launcher has set stays: a master given to it is kept, and only a session without
+    one becomes local, with the few shuffle partitions and the driver memory that suit one machine.
+    """
+    given = SparkConf()
+    settings = {
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",  # a checkpoint goes with the frame that holds it
+    }
+    if not given.contains("spark.master"):
+        settings |= {"spark.master": f"local[{cores}]", "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false"}
+    settings = {k: v for k, v in settings.items() if not given.contains(k)} | {k.replace("__", "."): v for k, v in conf.items()}
+    spark = SparkSession.builder.appName(app).config(map=settings).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -39,7 +41,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if current:
         return current
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("spark.checkpoint.dir must name a folder shared by all executors")
         named = os.path.join(tempfile.gettempdir(), f"quillmere-checkpoints-{os.getuid()}")
     spark.sparkContext.setCheckpointDir(named)

@@ -20,15 +20,49 @@ def extension(name: Column) -> Column:
     return F.when(name.rlike(r"(?i)\.mg2.*\.(raw|ar)$"), ".mg2_trend").otherwise(F.coalesce(F.nullif(F.lower(F.regexp_extract(name, r"(\.[^.]+)$", 1)), F.lit("")), F.lit("none")))
 
 
-def entity_folders(files: DataFrame, skip: list[str] = ()) -> DataFrame:
-    """Distinct folders, without hidden, system and listed ones."""
+def plain_path(uri: Column) -> Column:
+    """A file's path as a listing shows it: metadata columns percent-encode it."""
+    return F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B")))
+
+
+def entity_folders(files: DataFrame, skip: list[str] = (), parsed: bool = False) -> DataFrame:
+    """Distinct folders, without hidden, system and listed ones; ``parsed`` leaves out names that aren't those of an entity."""
+    from ..functions.names import loose_folder
+
     f = files.select("folder").filter(~F.col("folder").rlike(r"^[$.]")).distinct()
+    if parsed:
+        f = f.filter(loose_folder(F.col("folder"))["last_name"].isNotNull())
     if not skip:
         return f
     denied = files.sparkSession.createDataFrame([(s,) for s in skip], "folder string")
     return f.join(denied, "folder", "left_anti")
 
 
+def with_suffix(files: DataFrame, suffix: str, but: str = ".backup") -> DataFrame:
+    """Files whose name ends with the suffix, without backups."""
+    n = F.lower("name")
+    return files.filter(F.endswith(n, F.lit(suffix.lower())) & ~F.contains(n, F.lit(but)))
+
+
+def session_keys(paths: DataFrame, path: str = "path", suffix: str = "_channels.tsv") -> DataFrame:
+    """Add ``subject`` and ``session`` of paths .../sub-X/ses-Y/...; only paths with both and the suffix stay."""
+    p = F.col(path)
+    d = paths.filter(F.endswith(p, F.lit(suffix))).withColumns({"subject": F.regexp_extract(p, r"(?:^|/)(sub-[^/_]+)", 1), "session": F.regexp_extract(p, r"(?:^|/)(ses-[^/_]+)", 1)})
+    return d.filter("subject <> '' and session <> ''")
+
+
+def row_counts(spark: SparkSession, path: str) -> DataFrame:
+    """(csv_rows, physical_lines) of delimited files with a header: quoted line breaks count in the second alone."""
+    parsed = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(path).select(F.count("*").alias("csv_rows"))
+    files = spark.read.text(path).select(F.input_file_name().alias("f")).groupBy("f").agg(F.count("*").alias("n"))
+    return parsed.join(F.broadcast(files.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("physical_lines"))))  # one row each
+
+
+def shard_counters(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(key, n) summed over the counters of all workers' files below ``path`` (columns ``key``, n)."""
+    return spark.read.schema(f"{key} string, n bigint").option("header", "true").option("recursiveFileLookup", "true").csv(path).groupBy(key).agg(F.sum("n").alias("n"))
+
+
 def folder_inventory(files: DataFrame, sized: list[str]) -> DataFrame:
     """(folder, n_files, sized_bytes, kinds): files per kind as a map, sizes of some kinds alone."""
     g = files.groupBy("folder", "extension").agg(F.count("*").alias("n"), F.sum(F.when(F.col("extension").isin(sized), F.col("size")).otherwise(0)).alias("b"))
@@ -40,12 +74,11 @@ def comment_rows(lines: DataFrame, file: str, order: str, line: str, strict: boo
 
     Lines of fewer than five parts become text alone with zeros, or go if ``strict``.
     """
-    from pyspark.sql import Window
+    from ..operators.sections import with_last
 
-    w = Window.partitionBy(file).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     t = F.trim(F.col(line))
     head = t.rlike(r"^\[.*\]$")
-    d = lines.withColumn("__s", F.last(F.when(head, t), ignorenulls=True).over(w)).filter((F.col("__s") == "[Comments]") & ~head & (t != ""))
+    d = with_last(lines, file, order, F.when(head, F.struct(order, t.alias("s"))), "__s").filter((F.col("__s.s") == "[Comments]") & ~head & (t != ""))
     p = F.split(t, ",", 5)
     full = F.size(p) >= 5
     d = d.filter(full) if strict else d
@@ -55,7 +88,7 @@ def comment_rows(lines: DataFrame, file: str, order: str, line: str, strict: boo
 
 def lay_files(spark: SparkSession, path: str, strict: bool = False) -> DataFrame:
     """Annotation rows of all .lay files below ``path``, in file order."""
-    whole = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.lay").text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+    whole = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.lay").text(path, wholetext=True).select(plain_path(F.col("_metadata.file_path")).alias("file"), "value")
     lines = whole.select("file", F.posexplode(F.split("value", "\r?\n")).alias("line_no", "line"))
     return comment_rows(lines, "file", "line_no", "line", strict)
 
@@ -70,7 +103,7 @@ def page_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def documents(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
     """Nested JSON documents below ``path`` with their file as ``path``; unreadable ones have null fields."""
-    return spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true").json(path).withColumn("path", F.col("_metadata.file_path"))
+    return spark.read.schema(schema).option("multiLine", "true").option("recursiveFileLookup", "true").json(path).withColumn("path", plain_path(F.col("_metadata.file_path")))
 
 
 def table_or_empty(spark: SparkSession, path: str, columns: list[str], sep: str = ",") -> DataFrame:
@@ -92,6 +125,8 @@ def edf_headers(spark: SparkSession, path: str) -> DataFrame:
     return d.select("path", "length", "patient", "recording", "startdate", "starttime", n.alias("n_data_records"), F.col("signals").try_cast("int").alias("n_channels"), (n * s).alias("duration_sec"), F.when(ok, F.lit("")).otherwise("unreadable header").alias("error"))
 
 
-def last_matching(lines: DataFrame, group: str, order: str, line: str, pattern: str) -> DataFrame:
-    """The last line of each group that fits."""
-    return lines.filter(F.col(line).rlike(pattern)).groupBy(group).agg(F.max_by(line, order).alias(line))
+def last_matching(lines: DataFrame, group: str, order: str, line: str, *patterns: str) -> DataFrame:
+    """The last line of each group that fits the first pattern, or where none does, the next one."""
+    c = F.col(line)
+    fits = F.coalesce(*[F.when(c.rlike(p), -i) for i, p in enumerate(patterns)])
+    return lines.filter(fits.isNotNull()).groupBy(group).agg(F.max_by(line, F.struct(fits, F.col(order))).alias(line))

@@ -1,12 +1,14 @@
 import json
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from quillmere.operators import changes, identity, nested, ordered, resolution, sections, statistics
+from quillmere.operators import changes, identity, nested, ordered, reports, resolution, sections, statistics
 from quillmere.plans.pipeline import Pipeline
 from quillmere.sources import files, sinks
+from quillmere.streaming import watch
 
 
 def test_carry_forward_limit(spark):
@@ -122,7 +124,10 @@ def test_file_sources(spark, tmp_path):
     assert got == [(1.5, "left, spike"), (0.0, "short line")]
     assert files.lay_files(spark, str(tmp_path), strict=True).count() == 1
     f = files.listing(spark, str(tmp_path))
-    assert [r.folder for r in files.entity_folders(f).collect()] == ["Doe,%20J%2024-00001"] or files.entity_folders(f).count() == 1
+    assert [r.folder for r in files.entity_folders(f).collect()] == ["Doe, J 24-00001"]
+    assert [r.folder for r in files.entity_folders(f, parsed=True).collect()] == ["Doe, J 24-00001"]
+    # The files of both sources join by their path.
+    assert files.lay_files(spark, str(tmp_path)).join(f, F.col("file") == F.col("path")).count() == 2
     inv = files.folder_inventory(f.filter("name like '%lay' or name like '%raw'"), [".lay"]).first()
     assert inv.n_files == 2 and inv.sized_bytes == len(lay) and inv.kinds[".mg2_trend"] == 1
     (tmp_path / "p.jsonl").write_text('{"page": 1, "text": "a"}\n\nbroken\n{"page": 2, "text": "b"}\n')
@@ -148,6 +153,81 @@ def test_sinks(spark, tmp_path):
     assert {r.f for r in sinks.versioned(n, ["f"], ["o"], "f").collect()} == {"f.pdf", "f_ses2_.pdf"}
 
 
+def test_more_sources(spark, tmp_path):
+    d = spark.createDataFrame([("sub-A1/ses-2/eeg/sub-A1_ses-2_channels.tsv",), ("sub-A1/x_channels.tsv",), ("sub-B/ses-1/y.json",)], "path string")
+    assert [(r.subject, r.session) for r in files.session_keys(d).collect()] == [("sub-A1", "ses-2")]
+    n = spark.createDataFrame([("a.EDF",), ("b.backup.edf",), ("c.lay",), (None,)], "name string")
+    assert [r.name for r in files.with_suffix(n, ".edf").collect()] == ["a.EDF"]
+    for k in range(2):
+        (tmp_path / f"w{k}").mkdir()
+        (tmp_path / f"w{k}" / "c.csv").write_text(f"kind,n\nx,{k + 1}\ny,5\n")
+    assert {(r.kind, r.n) for r in files.shard_counters(spark, str(tmp_path), "kind").collect()} == {("x", 3), ("y", 10)}
+    (tmp_path / "q.csv").write_text('a,b\n1,"two\nlines"\n2,one\n')
+    assert tuple(files.row_counts(spark, str(tmp_path / "q.csv")).first()) == (2, 3)
+    lines = spark.createDataFrame([("g", 1, "done 5"), ("g", 2, "todo 3"), ("g", 3, "todo 4"), ("h", 1, "todo 9"), ("i", 1, "-")], "g string, o int, line string")
+    assert {r.g: r.line for r in files.last_matching(lines, "g", "o", "line", "done", "todo").collect()} == {"g": "done 5", "h": "todo 9"}
+    (tmp_path / "docs +%20x").mkdir()
+    (tmp_path / "docs +%20x" / "d.json").write_text('{"a": 1}')
+    (row,) = files.documents(spark, str(tmp_path / "docs +%20x"), "a int").collect()
+    assert row.a == 1 and row.path.endswith("docs +%20x/d.json")
+
+
+def test_more_sinks(spark, tmp_path):
+    d = spark.createDataFrame([("A", "1", 5), ("A", "2", None)], "sub string, ses string, v int")
+    sinks.write_subject_tree(d, str(tmp_path / "tree"))
+    assert sorted(p.parent.relative_to(tmp_path).as_posix() for p in (tmp_path / "tree").rglob("*.csv")) == ["tree/sub=A/ses=1", "tree/sub=A/ses=2"]
+    assert "n/a" in "".join(p.read_text() for p in (tmp_path / "tree" / "sub=A" / "ses=2").glob("*.csv"))
+    sinks.write_json_per_entity(d, str(tmp_path / "json"), "ses")
+    assert spark.read.json(str(tmp_path / "json" / "ses=1")).first().v == 5
+    for _ in range(2):
+        sinks.append_log(d, str(tmp_path / "log"))
+    assert spark.read.option("header", "true").csv(str(tmp_path / "log")).count() == 4
+    r = spark.createDataFrame([(1, [("a", 2)], [])], "id int, xs array<struct<k:string,n:int>>, ys array<string>")
+    t = nested.fan_out(r, {"xs": ("xs", [F.col("id"), F.col("x.k").alias("k")]), "ys": ("ys", [F.col("id"), F.col("x").alias("y")])})
+    assert [tuple(x) for x in t["xs"].collect()] == [(1, "a")] and t["ys"].count() == 0
+    with pytest.warns(UserWarning, match="absent"):
+        nested.whitelist(d, spark.createDataFrame([("A", 7)], "sub string, person_id int"), "sub", ["v", "w"])
+
+
+def test_snapshots_are_thinned():
+    now = iter(range(0, 10_000_000, 10))
+    s = watch.Snapshots(every=15, most=10, clock=lambda: next(now))
+    for _ in range(60):
+        s.count(5)
+    assert s.rows == 300 and s.batches == 60 and len(s.history) <= 10 and s.history[0]["batches"] == 1
+
+
+def test_snapshots_of_a_stream(spark, tmp_path):
+    s = watch.Snapshots(every=0)
+    spark.streams.addListener(s)
+    try:
+        spark.range(20).write.parquet(str(tmp_path / "in"))
+        watch.watch(spark, str(tmp_path / "in"), spark.range(1).schema, lambda b: b, str(tmp_path / "out"), str(tmp_path / "check")).awaitTermination()
+        for _ in range(50):
+            if s.rows == 20:
+                break
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(s)
+    assert s.rows == 20 and s.frame(spark).count() >= 1
+
+
+def test_quartiles_of_odd_groups(spark):
+    d = spark.createDataFrame([("a", float(x)) for x in (1, 2, 3, 10)] + [("b", 7.0)] * 3 + [("c", None), (None, 2.0), (None, 4.0)], "g string, v double")
+    got = {r.g: (r.n, r.q1, r.median, r.q3) for r in statistics.quartiles(d, "v", ["g"]).collect()}
+    assert got == {"a": (4, 1.75, 2.5, 4.75), "b": (3, 7.0, 7.0, 7.0), "c": (0, None, None, None), None: (2, 2.5, 3.0, 3.5)}
+    assert tuple(statistics.quartiles(d.limit(0), "v").first()) == (0, None, None, None)
+
+
+def test_reports_without_fields(spark):
+    d = spark.createDataFrame([(1, None), (2, ""), (3, "x" * 100_000), (4, "Seizures: " + "a b\n" * 30_000)], "i int, text string")
+    got = d.select("i", *[c.alias(n) for n, c in (reports.report_header(F.col("text")) | reports.report_sections(F.col("text")) | reports.order_fields(F.col("text"))).items()]).orderBy("i").collect()
+    assert all(v is None for r in got[:3] for k, v in r.asDict().items() if k != "i") and len(got[3].seizures) == 3000 - 1
+    assert reports.event_rows(d.filter("i < 3"), "text").count() == 0 and reports.log_hours(d.filter("i < 3"), "i", "text").count() == 0 and reports.log_events(d.filter("i < 3"), "i", "text").count() == 0
+    e = reports.extract(d.withColumn("kind", F.lit("eeg_order")), "kind", "text").select("method", "error").distinct().collect()
+    assert [tuple(x) for x in e] == [("regex", None)]
+
+
 def test_pipeline_names_the_failing_stage():
     p = Pipeline()
     p.stage("one")(lambda r: 1)
@@ -166,5 +246,5 @@ def test_entry_is_usable_without_optional_modules(spark):
 def test_monitoring_hours(spark):
     text = "03/04 1:00 PM - 2:00 PM CST Yes good 97\nAnna - 03/04/2024 2:05 PM\n03/04 2:00 PM - 3:00 PM No\n55"
     d = spark.createDataFrame([("p", i, x) for i, x in enumerate(text.split("\n"))], "packet string, n int, line string")
-    got = [(r.time_start, r.time_end, r.timezone, r.recording_on, r.battery_pct, r.reviewer_name) for r in sections.monitoring_hours(d, "packet", "n", "line").orderBy("record").collect()]
+    got = [(r.time_start, r.time_end, r.timezone, r.recording_on, r.battery_pct, r.reviewer_name) for r in reports.monitoring_hours(d, "packet", "n", "line").orderBy("record").collect()]
     assert got == [("1:00 PM", "2:00 PM", "CST", True, 97, "Anna"), ("2:00 PM", "3:00 PM", None, False, 55, None)]
