@@ -22,7 +22,7 @@ _REST = {
     "es": ["no muestra cambios en comparación con el estudio del año pasado", "se revisó al final de la semana y sigue estable", "está dentro de los límites de la edad", "no explica los episodios descritos en casa", "durmió bien durante la mayor parte de la tarde"],
     "fr": ["ne montre pas de changement par rapport à l'année dernière", "a été revu à la fin de la semaine et reste stable", "est dans les limites de la normale pour l'âge", "n'explique pas les épisodes décrits à la maison", "a bien dormi pendant une grande partie de l'après-midi"],
 }
-_ITEMS = ["check leads", "lights off", "eyes open", "sleep onset", "phone call", "button press", "spike left side", "marker 12", "gain 50", "file 3 of 8", "stage 2", "electrode T4 loose", "aspirin 100 mg twice daily", "iron 250 mg at bedtime", "vitamin C 50 mg", "staring", "a fall on the stairs", "loss of balance for a minute", "impedance 7 kOhm", "@event 9", "nurse in room", "walks to bathroom", "chewing", "ward phone 12", "page the doctor?", "T3-T5 ok", "O1-O2", "high blood pressure", "kidney stones", "heart murmur", "back pain", "dizziness", "migraine", "weak left arm", "chronic cough", "poor appetite", "night sweats", "broken wrist", "double vision", "fever"]
+_ITEMS = ["check leads", "lights off", "eyes open", "sleep onset", "phone call", "button press", "spike left side", "marker 12", "gain 50", "file 3 of 8", "stage 2", "electrode T4 loose", "aspirin 100 mg twice daily", "iron 250 mg at bedtime", "vitamin C 50 mg", "staring", "a fall on the stairs", "loss of balance for a minute", "impedance 7 kOhm", "@event 9", "nurse in room", "walks to bathroom", "chewing", "ward phone 12", "page the doctor?", "T3-T5 ok", "O1-O2", "high blood pressure", "kidney stones", "heart murmur", "back pain", "dizziness", "migraine", "weak left arm", "chronic cough", "poor appetite", "night sweats", "broken wrist", "double vision", "fever", "attention problems since first grade", "took the morning dose two hours late", "walks slowly along the corridor", "left arm and face feel numb at times", "cramps in both legs after climbing stairs", "vitamin D 1,000 units once a week", "tape replaced over the right ear", "sits up and looks at the camera", "iron deficiency of unknown cause", "operation on the left knee 2009", "magnesium citrate 300 mg every evening", "pain behind the right eye for an hour", "talks on the phone with a relative"]
 _HEADS = ["Time", "Rate", "Lead", "Status", "Count", "Value", "Flag", "Hour", "Start", "Level", "Entry", "Name"]
 
 
@@ -32,6 +32,8 @@ def _sentence(r: random.Random, lang: str) -> str:
         s += {"en": ", and ", "de": ", und ", "es": ", y ", "fr": ", et "}[lang] + s[0].lower() + s[1:]
     if r.random() < 0.25:
         s = {"en": "At 9:40 on 3/14/2022, ", "de": "Um 9:40 Uhr am 14.3.2022: ", "es": "A las 9:40, ", "fr": "À 9h40, "}[lang] + s[0].lower() + s[1:]
+    if r.random() < 0.3:
+        s += {"en": " near {}, where {} events lasted {} s", "de": " bei {}, wo {} Ereignisse {} s dauerten", "es": " cerca de {}, con {} episodios de {} s", "fr": " près de {}, où {} événements ont duré {} s"}[lang].format(r.choice(["T3-T5", "O1-O2", "F8-T4", "Fz-Cz"]), r.randint(2, 60), r.randint(2, 90))
     return s + r.choice([".", ".", ".", ".", "?", "; see above."])
 
 
@@ -57,14 +59,18 @@ def prose(r: random.Random, size: int) -> str:
 def items(r: random.Random, size: int) -> str:
     plain = r.random() < 0.4
     bank = [x for x in _ITEMS if not any(c.isdigit() for c in x)] if plain else _ITEMS
+    if r.random() < 0.15:
+        # Codes with or without a remark, one to a line.
+        bank = [f"{code}{end}" for code in r.sample(["C3-P3", "F7-T7", "Fz-Cz", "O1-O2", "P4-O2", "A12", "BX 7", "K-204", "Fp1", "Room 3", "T8"], 6) for end in ("", " ok", " loose", " moved", " re-set")]
     bank = r.sample(bank, r.randint(4, len(bank)))
+    ends = r.choice([[""], [""], ["?"], ["?", "!"], ["."]])
     mark = r.choice(["- ", "* ", "• ", "– ", "n. ", "n) ", "(n) ", "a) ", "[ ] ", "", "", "  - "])
     out: list[str] = []
     while sum(map(len, out)) < size or not out:
         k = len(out) + 1
         lead = mark.replace("n", str(k)) if "n" in mark else mark.replace("a", "abcdefghijklmnopqrstuvwxyz"[k % 26]) if mark == "a) " else mark
         body = r.choice(bank)
-        out.append(lead + (body.capitalize() if r.random() < 0.3 else body) + (" " + r.choice(["ok", "again", "left", "x2"]) if r.random() < 0.2 else ""))
+        out.append(lead + (body.capitalize() if r.random() < 0.3 else body) + (" " + r.choice(["ok", "again", "left", "x2"]) if r.random() < 0.2 else "") + (r.choice(ends) if r.random() < 0.3 else ""))
     return "\n".join(out)
 
 
@@ -114,6 +120,39 @@ def noise(r: random.Random, size: int) -> str:
     return " ".join(str(r.randrange(10 ** r.randint(3, 9))) for _ in range(size // 7 + 6))
 
 
+def _spoilt(r: random.Random, text: str) -> str:
+    """Prose as it comes: odd blanks, an indented line, a tab, a far end, a cut."""
+    style = r.randrange(6)
+    if style == 0:
+        return text.replace(". ", ".  ")
+    if style == 1:
+        return text + " " * r.randint(3, 60) + r.choice(["end", "page 2", "R."])
+    if style == 2:
+        return "\t" + text
+    if style == 3:
+        return "   " + text.replace(", ", " ,", 1)
+    if style == 4:
+        return text[: max(12, len(text) * 2 // 3)]
+    return text.upper()
+
+
+MAKERS = {"prose": prose, "list": items, "table": cells, "junk": noise}
+
+
+def parts(n: int, seed: int = 20) -> list[tuple[str, str]]:
+    """``n`` texts of one kind each, (text, kind), from a few characters to a page; half of them prose."""
+    r = random.Random(seed)
+    out = []
+    for i in range(n):
+        kind = "prose" if i % 2 else r.choice(["list", "table", "junk", "junk"])
+        size = int(10 ** r.uniform(1.1, 3.1))
+        text = MAKERS[kind](r, size)
+        if kind == "junk":
+            text = text[: max(12, size)]
+        out.append((_spoilt(r, text) if kind == "prose" and r.random() < 0.2 else text, kind))
+    return out
+
+
 def compose(n: int, seed: int = 20) -> list[tuple[str, str]]:
     """``n`` documents with their labels, the same for the same arguments."""
     r = random.Random(seed)
