@@ -63,7 +63,9 @@ def _numbered(line: Column, f: Column) -> Column:
     marks = rf"^[\W_]*(?:{_folded('continued')}|{_folded('cont')}\.?)(?: (?:on|from) {_folded('next')}.*| on .*{page}.*)?[\W_]*$"
     stamps = rf"^(?:{_folded('printed')} .*\d|{_folded('fax')}: ?.*\d|.*{page}: ?{n})$"
     has_digit = line.rlike(r"\d|^[\W_]*[lIO][\W_]*$")
-    return (line != "") & ((has_digit & f.rlike(number)) | f.rlike(marks) | f.rlike(stamps))
+    # Most lines hold neither a digit nor the words of a mark: two plain searches settle them.
+    marked = F.contains(f, F.lit(_folded("cont"))) & f.rlike(marks)
+    return (line != "") & ((has_digit & (f.rlike(number) | f.rlike(stamps))) | marked)
 
 
 LEAST_TIMES, LEAST_BREAKS = 3, 0.6  # times a form must come back; share of its telling places where the text doesn't run on
@@ -141,10 +143,10 @@ def body(df: DataFrame, text: str) -> DataFrame:
     return df.withColumns({"page_lines": F.col("__both.page_lines"), "body": F.col("__both.body")}).drop("__both", "ls", "forms", "id")
 
 
-def words(rows: DataFrame) -> DataFrame:
-    """(keys, token) of the whole words of ``body``: those at divided line ends are left out."""
-    whole = F.regexp_replace("body", SPLIT, " ")
-    return rows.select("source_table", "row_id", F.explode(F.regexp_extract_all(whole, F.lit(TOKEN), F.lit(0))).alias("token"))
+def words(rows: DataFrame, once: bool = False) -> DataFrame:
+    """(keys, token) of the whole words of ``body``: those at divided line ends are left out. ``once``: each word once a row."""
+    whole = F.regexp_extract_all(F.regexp_replace("body", SPLIT, " "), F.lit(TOKEN), F.lit(0))
+    return rows.select("source_table", "row_id", F.explode(F.array_distinct(whole) if once else whole).alias("token"))
 
 
 def anagram_hash(token: Column) -> Column:
@@ -194,8 +196,7 @@ def repaired(rows: DataFrame) -> dict[str, DataFrame]:
     the corpus counts. Texts are read whole.
     """
     rows = cut_lineage(body(rows.select("source_table", "row_id", "text").filter("text is not null"), "text"))
-    tokens = words(rows)
-    lexicon = cut_lineage(tokens.groupBy("token").agg(F.count("*").alias("n")))
+    lexicon = cut_lineage(words(rows).groupBy("token").agg(F.count("*").alias("n")))
     pieces = rows.select("source_table", "row_id", F.regexp_extract_all("body", F.lit(SPLIT), F.lit(1)).alias("a"), F.regexp_extract_all("body", F.lit(SPLIT), F.lit(2)).alias("b"))
     pieces = pieces.select("source_table", "row_id", F.explode(F.arrays_zip("a", "b")).alias("p")).select("source_table", "row_id", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
     both = pieces.select("a", "b").distinct().withColumns({"plain": _trim(F.concat("a", "b")), "kept": _trim(F.concat_ws("-", "a", "b"))})
@@ -207,7 +208,7 @@ def repaired(rows: DataFrame) -> dict[str, DataFrame]:
     both = both.withColumn("word", F.when(F.coalesce("kept_n", F.lit(0)) > F.coalesce("plain_n", F.lit(0)), F.col("kept_r")).otherwise(F.col("plain_r")))
     both = both.withColumn("as_read", F.when(F.coalesce("kept_n", F.lit(0)) > F.coalesce("plain_n", F.lit(0)), F.col("kept")).otherwise(F.col("plain")))
     splits = pieces.join(both.select("a", "b", "word", "as_read"), ["a", "b"])
-    return {"rows": rows, "tokens": tokens, "lexicon": lexicon, "fix": fix, "splits": splits}
+    return {"rows": rows, "tokens": words(rows, once=True), "lexicon": lexicon, "fix": fix, "splits": splits}
 
 
 def _unknown(both: DataFrame, lexicon: DataFrame) -> DataFrame:
