@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from . import entity_queries, problems, progress_queries, report_queries, stat_queries, text_queries
+from . import entity_queries, file_queries, problems, progress_queries, report_queries, stat_queries, text_queries
 
 MODULES = [problems]
-REGISTRIES = [text_queries.R, entity_queries.R, stat_queries.R, report_queries.R, progress_queries.R]
+REGISTRIES = [text_queries.R, entity_queries.R, stat_queries.R, report_queries.R, progress_queries.R, file_queries.R]
 
 
 def queries():
