@@ -33,10 +33,9 @@ COMMON = sorted(
 
 _LINE_END = r"\r\n|[\n\r\f\x{0085}\x{2028}\x{2029}]"
 _BULLET = r"^\s*(?:[-*+•‣◦▪▫●○·–—>»✓☐☑]|\(?\d{1,3}[.)]|\(?[A-Za-z][.)]|\[[ xX]?\]|\(?[ivx]{1,4}[.)])\s+\S"
-# Signs beyond ASCII that the languages use, and their vowels with the plain ones.
+# Signs beyond ASCII that the languages use, and vowels.
 _NATIVE = "äöüßéèêëàâçîïôûùñáíóúæøåœÄÖÜÉÈÀÂÇÑÁÍÓÚÆØÅ‘’“”«»–—•…°µ¿¡"
-_VOWELS, _PLAIN = "áéíóúàèùâêîôûäöüåøæœëï", "aeiouaeuaeiouaouaoaoei"
-_VOWELLESS = r"(?<!\S)[^\saeiouy]{4,24}(?!\S)"
+_VOWELS = "aeiouyáéíóúàèùâêîôûäöüåøæëï"
 _ENDS = list(".!?;:,…")
 
 
@@ -71,7 +70,7 @@ def _beyond(text: Column) -> Column:
 # Statistics of a line, from ``_base``.
 LINE = {
     "letters": lambda x: _without(x["t"], r"\P{L}+") / x["n"],
-    "digits": lambda x: (F.length(x["t"]) - F.length(F.translate(x["t"], "0123456789", ""))) / x["n"],
+    "digits": lambda x: (F.length(x["t"]) - _without(x["t"], "[0-9]+")) / x["n"],
     "tokens": lambda x: x["k"],
     "token_length": lambda x: x["n"] / x["k"],
     "length": lambda x: F.length(x["t"]),
@@ -87,7 +86,7 @@ LINE = {
     "common": lambda x: F.size(F.filter(x["w"], lambda w: w.isin(COMMON))) / F.greatest(F.size(x["w"]), F.lit(1)),
     "foreign": lambda x: F.when(F.octet_length(x["t"]) > F.length(x["t"]), _beyond(F.translate(x["t"], _NATIVE, "")) / x["n"]).otherwise(0.0),
     "switches": lambda x: _count(x["t"], r"\p{L}\d|\d\p{L}|\p{Ll}\p{Lu}") / x["k"],
-    "vowelless": lambda x: _count(F.translate(F.lower(x["t"]), _VOWELS, _PLAIN), _VOWELLESS) / x["k"],
+    "vowelless": lambda x: F.size(F.filter(x["w"], lambda w: F.length(w).between(4, 24) & ~w.rlike(f"[{_VOWELS}]"))) / F.greatest(F.size(x["w"]), F.lit(1)),
     "pairs": lambda x: F.when(x["n"] < 4 * x["k"], _count(x["t"], r"(?<!\S)[0-9A-Fa-f]{2}(?!\S)") / x["k"]).otherwise(0.0),
     "others": lambda x: F.length(F.replace(x["b"], F.substring(x["b"], 1, 1), F.lit(""))) / x["n"],
     "heading": lambda x: x["t"].rlike(r"^\p{Lu}[\p{Lu} /&-]+$").cast("int"),

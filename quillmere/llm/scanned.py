@@ -144,9 +144,8 @@ def body(df: DataFrame, text: str) -> DataFrame:
 
 
 def words(rows: DataFrame, once: bool = False) -> DataFrame:
-    """(keys, token) of the whole words of ``body``: those at divided line ends are left out. ``once``: each word once a row."""
-    whole = F.regexp_extract_all(F.regexp_replace("body", SPLIT, " "), F.lit(TOKEN), F.lit(0))
-    return rows.select("source_table", "row_id", F.explode(F.array_distinct(whole) if once else whole).alias("token"))
+    """(keys, token) of ``words``. ``once``: each word once a row."""
+    return rows.select("source_table", "row_id", F.explode(F.array_distinct("words") if once else F.col("words")).alias("token"))
 
 
 def anagram_hash(token: Column) -> Column:
@@ -195,7 +194,9 @@ def repaired(rows: DataFrame) -> dict[str, DataFrame]:
     Null, empty and blank texts have no lines and give nothing. Repeated rows count again in
     the corpus counts. Texts are read whole.
     """
-    rows = cut_lineage(body(rows.select("source_table", "row_id", "text").filter("text is not null"), "text"))
+    rows = body(rows.select("source_table", "row_id", "text").filter("text is not null"), "text")
+    # The whole words of the body, without those at divided line ends.
+    rows = cut_lineage(rows.withColumn("words", F.regexp_extract_all(F.regexp_replace("body", SPLIT, " "), F.lit(TOKEN), F.lit(0))))
     lexicon = cut_lineage(words(rows).groupBy("token").agg(F.count("*").alias("n")))
     pieces = rows.select("source_table", "row_id", F.regexp_extract_all("body", F.lit(SPLIT), F.lit(1)).alias("a"), F.regexp_extract_all("body", F.lit(SPLIT), F.lit(2)).alias("b"))
     pieces = pieces.select("source_table", "row_id", F.explode(F.arrays_zip("a", "b")).alias("p")).select("source_table", "row_id", F.col("p.a").alias("a"), F.col("p.b").alias("b"))
