@@ -121,13 +121,15 @@ def packet_sections(t):
     return sections.sections(d, "study_id", ["page_start", "doc_id"], "kind", "page_start", "chars", "score")
 
 
-@R.query(f"""with {_PAGES}, spans as (select study_id, min(page_start) as page_start, max(page_start) as page_end from pages where kind is not null group by 1)
-             select s.study_id, s.page_start, s.page_end, string_agg(p.text, chr(12) order by p.page_start, p.text) as section_text
-             from spans s join pages p on s.study_id = p.study_id and p.page_start between s.page_start and s.page_end group by 1, 2, 3""")
+@R.query(f"""with {_PAGES}, spans as (select study_id, min(page_start) as page_start, max(page_start) as page_end from pages where kind is not null group by 1),
+             n as (select s.study_id, s.page_start, s.page_end, p.page_start as p, p.doc_id, p.text, cast((row_number() over (partition by s.study_id order by p.page_start, p.doc_id) - 1) // 200 as integer) as part
+                   from spans s join pages p on s.study_id = p.study_id and p.page_start between s.page_start and s.page_end)
+             select study_id, page_start, page_end, part, string_agg(text, chr(12) order by p, doc_id) as section_text from n group by 1, 2, 3, 4""")
 def section_text(t):
+    """The pages of a range as text, in parts of 200 pages."""
     p = _pages(t)
     spans = p.filter("kind is not null").groupBy("study_id").agg(F.min("page_start").alias("page_start"), F.max("page_start").alias("page_end"))
-    return sections.text_of_range(spans, p, "study_id", "page_start", "text")
+    return sections.text_of_range(spans, p, "study_id", "page_start", "text", "doc_id")
 
 
 @R.query(r"""select impression_row_id, nullif(trim(regexp_extract(raw_text, '(?is)because of(.*?)(?:over|[.]|\z)', 1), concat(' ', chr(9), chr(10), chr(13), chr(12))), '') as reason

@@ -153,6 +153,16 @@ def test_sinks(spark, tmp_path):
     assert {r.f for r in sinks.versioned(n, ["f"], ["o"], "f").collect()} == {"f.pdf", "f_ses2_.pdf"}
 
 
+def test_long_ranges_come_in_parts(spark):
+    pages = spark.createDataFrame([("p", i // 2, i, f"t{i}") for i in range(450)] + [("q", 1, 1, "x")], "packet string, page int, id int, text string")
+    spans = spark.createDataFrame([("p", 0, 300), ("q", 1, 1), ("r", 1, 9)], "packet string, page_start int, page_end int")
+    got = sections.text_of_range(spans, pages, "packet", "page", "text", "id").collect()
+    parts = {(r.packet, r.part): r.section_text for r in got}
+    assert len(got) == len(parts) == 5 and parts["q", 0] == "x" and parts["r", 0] == ""
+    assert "\f".join(parts["p", k] for k in range(3)).split("\f") == [f"t{i}" for i in range(450)]
+    assert sections.text_of_range(spans.limit(0), pages, "packet", "page", "text", "id").count() == 0
+
+
 def test_more_sources(spark, tmp_path):
     d = spark.createDataFrame([("sub-A1/ses-2/eeg/sub-A1_ses-2_channels.tsv",), ("sub-A1/x_channels.tsv",), ("sub-B/ses-1/y.json",)], "path string")
     assert [(r.subject, r.session) for r in files.session_keys(d).collect()] == [("sub-A1", "ses-2")]
