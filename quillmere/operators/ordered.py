@@ -30,10 +30,11 @@ def prefix(d: DataFrame, group: list[str], order: list[str], value: Column, out:
     d = d.withColumn("__v", value)
     sums = d.groupBy(PART, *group).agg(f("__v").alias("__s"))
     earlier = Window.partitionBy(*group).orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select(F.col(PART).alias("__q"), *[F.col(g).alias("__g" + g) for g in group], f("__s").over(earlier).alias("__b"))
+    before = sums.select(F.col(PART).alias("__q"), *[F.col(g).alias("__g" + g) for g in group], f("__s").over(earlier).alias("__b")).filter("__b is not null")
     on = [d[PART] == before["__q"], *[d[g].eqNullSafe(before["__g" + g]) for g in group]]
     here = Window.partitionBy(PART, *group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if own else -1)
-    j = d.join(before, on).drop("__q", *["__g" + g for g in group]).withColumn("__h", f("__v").over(here))
+    # An outer join, so no estimate of a table's size can make the rows themselves the broadcast side.
+    j = d.join(F.broadcast(before), on, "left").drop("__q", *["__g" + g for g in group]).withColumn("__h", f("__v").over(here))
     # Within a group every value here comes behind all before it.
     both = F.coalesce("__b", F.lit(0)) + F.coalesce("__h", F.lit(0)) if how == "sum" else F.when(F.col("__h").isNull(), F.col("__b")).when(F.col("__b").isNull(), F.col("__h")).otherwise(F.greatest("__b", "__h"))
     return j.withColumn(out, both).drop("__v", "__b", "__h")

@@ -51,6 +51,24 @@ def test_running_total_with_hot_group(spark):
         total[g] = total.get(g, 0) + v
 
 
+def _broadcast_rows(plan):
+    """Rows of each broadcast of an executed plan."""
+    kind = plan.getClass().getSimpleName()
+    if kind.startswith("BroadcastExchange"):
+        return [plan.metrics().apply("numOutputRows").value()]
+    inner = plan.executedPlan() if kind == "AdaptiveSparkPlanExec" else plan.plan() if kind.endswith("QueryStageExec") else None
+    children = plan.children()
+    return [n for x in ([inner] if inner else [children.apply(i) for i in range(children.size())]) for n in _broadcast_rows(x)]
+
+
+def test_prefix_broadcasts_one_row_a_partition(spark):
+    """Many small groups: neither the rows nor a value per group may go through the driver."""
+    d = ordered.spread(spark.range(6000).selectExpr("id div 2 as g", "id as o"), ["g"], ["o"])
+    got = ordered.prefix(d, ["g"], ["o"], F.lit(1), "t", own=True)
+    assert sorted((r.g, r.t) for r in got.collect()) == [(g, t) for g in range(3000) for t in (1, 2)]
+    assert max(_broadcast_rows(got._jdf.queryExecution().executedPlan()), default=0) <= d.select(ordered.PART).distinct().count()
+
+
 def test_sessions(spark):
     d = spark.createDataFrame([("p", 1, 3), ("p", 2, 0), ("p", 3, 2)], "p string, o int, n int")
     assert [r.session_start for r in identity.session_starts(d, "p", ["o"], "n").orderBy("o").collect()] == [1, 4, 4]
